@@ -152,15 +152,6 @@ CURRENT_RANK = """ranked AS (
   FROM damaged)"""
 
 CASES: dict[str, Case] = {
-    "scd2_range_scan": Case(
-        lambda spark, sf: scd2.changed_since(
-            changes(spark, sf), ACCOUNTS, stamp(LATE_FROM), stamp(LATE_TO)
-        ),
-        with_ctes(
-            [CHANGES],
-            f"SELECT * FROM changes WHERE modified > TIMESTAMP '{LATE_FROM}' AND modified <= TIMESTAMP '{LATE_TO}'",
-        ),
-    ),
     "scd2_batch_latest": Case(
         lambda spark, sf: scd2.batch_latest(batch(spark, sf), ACCOUNTS),
         with_ctes([CHANGES, BATCH, NEWEST], "SELECT * FROM newest"),
@@ -407,11 +398,11 @@ UNION ALL SELECT 'channel', count_if(nullif(channel, '5-LOW') IS NULL) FROM chan
     ),
     "scd2_missing_changes": Case(
         lambda spark, sf: scd2_checks.missing_changes(
-            changes(spark, sf), target(spark, sf), ACCOUNTS
+            scd2.full_history(changes(spark, sf), ACCOUNTS), target(spark, sf), ACCOUNTS
         ),
         with_ctes(
-            TARGET,
-            """SELECT DISTINCT customer, channel, modified FROM changes c WHERE NOT EXISTS (
+            [*TARGET, *account_history("h")],
+            """SELECT DISTINCT customer, channel, modified FROM h c WHERE NOT EXISTS (
   SELECT 1 FROM target t WHERE t.customer = c.customer AND t.channel = c.channel AND t.modified = c.modified)""",
         ),
     ),
