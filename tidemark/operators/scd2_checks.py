@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Scd2Table
 from tidemark.operators.ordered import OrderedRows, latest_per_key
+from tidemark.operators.quality import null_counts
 from tidemark.operators.scd2 import with_total_order
 
 # Timestamps listed in one report row; a key with more of them gets further rows.
@@ -188,15 +189,6 @@ def null_keys(rows: DataFrame, table: Scd2Table) -> DataFrame:
     return null_counts(rows, table.keys)
 
 
-def null_counts(rows: DataFrame, columns) -> DataFrame:
-    """``column_name, n_nulls`` for each column, from one scan."""
-    counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_nulls")) for c in columns]
-    )
-    return counts.select(F.inline(pairs))
-
-
 def missing_changes(source: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
     """Source versions (keys, stamp) that the target does not hold."""
     identity = [*table.keys, table.last_modified]
