@@ -1,5 +1,5 @@
 """Incremental table synchronisation on Spark DataFrames."""
 
-from tidemark.config import PartitionTable, Scd2Table, StaticTable
+from tidemark.config import AppendTable, PartitionTable, Scd2Table, StaticTable
 
-__all__ = ["PartitionTable", "Scd2Table", "StaticTable"]
+__all__ = ["AppendTable", "PartitionTable", "Scd2Table", "StaticTable"]

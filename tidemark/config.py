@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, fields
 # Names users put into table descriptions.
 HASH_ALGORITHMS = ("checksum", "hashbytes_md5", "hashbytes_sha256")
 LOAD_STRATEGIES = ("replace", "upsert")
+SCD2_MODES = ("collapse", "full_history", "append")
 
 
 def _name(label: str, value: str) -> str:
@@ -32,13 +33,17 @@ def _set(obj, **values) -> None:
 
 @dataclass(frozen=True)
 class PartitionTable:
-    """Grows by whole values of ``partition_column`` (a YYYYMMDD number or a date)."""
+    """Grows by whole values of ``partition_column`` (a YYYYMMDD number or a date).
+
+    With ``replace_changed`` every run also compares the content of the partitions both
+    sides have, which reads both tables whole; otherwise only the values are compared.
+    """
 
     table: str
     partition_column: str = "COBID"
     initial_load_count: int | None = None
     where: str | None = None
-    replace_changed: bool = True
+    replace_changed: bool = False
     kind: str = field(default="partition", init=False)
 
     def __post_init__(self):
@@ -58,6 +63,10 @@ class Scd2Table:
     ``tracked`` lists the attributes whose change makes a new version; left out, it
     is every column that is neither a key nor a control column. ``tie_break`` orders
     rows of one key that carry the same ``last_modified``.
+
+    ``mode`` says what a batch becomes: "collapse" keeps the newest row of each key if it
+    differs, "full_history" keeps every distinct version and fits late rows in, "append"
+    adds the rows as they come.
     """
 
     table: str
@@ -70,7 +79,7 @@ class Scd2Table:
     tie_break: tuple[str, ...] = ()
     initial_load_days: int | None = None
     where: str | None = None
-    full_history: bool = False
+    mode: str = "collapse"
     kind: str = field(default="scd", init=False)
 
     def __post_init__(self):
@@ -87,6 +96,8 @@ class Scd2Table:
         )
         if self.tracked is not None:
             _set(self, tracked=_columns("tracked", self.tracked))
+        if self.mode not in SCD2_MODES:
+            raise ValueError(f"mode must be one of {SCD2_MODES}")
         if self.initial_load_days is not None and self.initial_load_days <= 0:
             raise ValueError("initial_load_days must be positive")
 
@@ -110,7 +121,10 @@ class Scd2Table:
 
 @dataclass(frozen=True)
 class StaticTable:
-    """A reference table compared as a whole and replaced or upserted."""
+    """A reference table compared as a whole and replaced or upserted.
+
+    With ``lineage`` the stored rows carry the load id and the fingerprint of the source.
+    """
 
     table: str
     primary_keys: tuple[str, ...] = ()
@@ -118,6 +132,7 @@ class StaticTable:
     hash_algorithm: str = "hashbytes_sha256"
     force_reload_after_days: int | None = None
     allow_deletes: bool = False
+    lineage: bool = False
     where: str | None = None
     kind: str = field(default="static", init=False)
 
@@ -139,9 +154,31 @@ class StaticTable:
             raise ValueError("force_reload_after_days must be positive")
 
 
-TableConfig = PartitionTable | Scd2Table | StaticTable
+@dataclass(frozen=True)
+class AppendTable:
+    """Appends source rows above the highest ``watermark_column`` value loaded."""
+
+    table: str
+    watermark_column: str
+    where: str | None = None
+    kind: str = field(default="append", init=False)
+
+    def __post_init__(self):
+        _set(
+            self,
+            table=_name("table", self.table),
+            watermark_column=_name("watermark_column", self.watermark_column),
+        )
+
+
+TableConfig = PartitionTable | Scd2Table | StaticTable | AppendTable
 
-_KINDS = {"partition": PartitionTable, "scd": Scd2Table, "static": StaticTable}
+_KINDS = {
+    "static": StaticTable,
+    "scd": Scd2Table,
+    "partition": PartitionTable,
+    "append": AppendTable,
+}
 
 
 def table_from_mapping(entry: Mapping) -> TableConfig:
@@ -177,6 +214,6 @@ def select_tables(
     wanted = set(names) if names is not None else None
     if wanted is not None and wanted - set(seen):
         raise ValueError(f"no such tables: {sorted(wanted - set(seen))}")
-    rank = ("static", "scd", "partition")
+    rank = list(_KINDS)
     chosen = [t for t in tables if t.kind in kinds and (wanted is None or t.table in wanted)]
     return sorted(chosen, key=lambda t: rank.index(t.kind))

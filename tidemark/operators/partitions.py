@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.canonical import fingerprint, row_number60
 from tidemark.operators.ordered import OrderedRows
+from tidemark.sources.tables import typed_lit
 
 # Fixed value: the most range partitions a table may have.
 MAX_RANGE_PARTITIONS = 15_000
@@ -24,9 +25,9 @@ def partition_values(df: DataFrame, column: str, low=None, high=None) -> DataFra
     """Sorted distinct non-null values, optionally within inclusive bounds."""
     out = df.where(F.col(column).isNotNull())
     if low is not None:
-        out = out.where(F.col(column) >= F.lit(low))
+        out = out.where(F.col(column) >= typed_lit(df, column, low))
     if high is not None:
-        out = out.where(F.col(column) <= F.lit(high))
+        out = out.where(F.col(column) <= typed_lit(df, column, high))
     return out.select(column).distinct().orderBy(column)
 
 
@@ -34,7 +35,7 @@ def new_partition_values(df: DataFrame, column: str, last=None) -> DataFrame:
     """Distinct values above the last one loaded; all of them on a first run."""
     out = df.where(F.col(column).isNotNull())
     if last is not None:
-        out = out.where(F.col(column) > F.lit(last))
+        out = out.where(F.col(column) > typed_lit(df, column, last))
     return out.select(column).distinct()
 
 
@@ -55,7 +56,7 @@ def last_n_partitions(df: DataFrame, column: str, n: int) -> DataFrame:
     The lowest of the ``n`` values becomes a literal bound, which prunes the scan.
     """
     lowest = last_n_values(df, column, n).agg(F.min(column).alias("low")).first()["low"]
-    return df.where(F.col(column) >= F.lit(lowest)) if lowest is not None else df
+    return df.where(F.col(column) >= typed_lit(df, column, lowest)) if lowest is not None else df
 
 
 def value_inventory(df: DataFrame, column: str) -> DataFrame:
@@ -130,7 +131,7 @@ def backfill_rows(
         return df.where(F.col(column).isin(list(values)))
     if low is None or high is None:
         raise ValueError("give a range or a list of partition values")
-    return df.where(F.col(column).between(F.lit(low), F.lit(high)))
+    return df.where(F.col(column).between(typed_lit(df, column, low), typed_lit(df, column, high)))
 
 
 def replace_partitions(target: DataFrame, staged: DataFrame, column: str) -> DataFrame:

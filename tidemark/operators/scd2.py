@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Scd2Table
 from tidemark.operators.ordered import OrderedRows, latest_per_key
+from tidemark.sources.tables import range_rows
 
 NEW, UPDATED, UNCHANGED = "new", "updated", "unchanged"
 _TIE = "_tie"
@@ -50,12 +51,7 @@ def as_of(target: DataFrame, table: Scd2Table, moment: Column) -> DataFrame:
 
 def changed_since(source: DataFrame, table: Scd2Table, low=None, high=None) -> DataFrame:
     """Source rows with ``low < last_modified <= high``; a missing bound is open."""
-    out = source
-    if low is not None:
-        out = out.where(F.col(table.last_modified) > low)
-    if high is not None:
-        out = out.where(F.col(table.last_modified) <= high)
-    return out
+    return range_rows(source, table.last_modified, low, high)
 
 
 def classify(batch: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import OrderedRows, latest_per_key
+from tidemark.sources.tables import typed_lit
 
 
 def high_watermark(df: DataFrame, column: str, default: Column | None = None) -> DataFrame:
@@ -21,7 +22,7 @@ def timestamp_bounds(df: DataFrame, column: str) -> DataFrame:
 
 def pending_count(df: DataFrame, column: str, last) -> DataFrame:
     """One row, ``n_pending``: rows above the mark; every row if nothing was loaded."""
-    waits = F.col(column).isNotNull() if last is None else F.col(column) > F.lit(last)
+    waits = F.col(column).isNotNull() if last is None else F.col(column) > typed_lit(df, column, last)
     return df.agg(F.count_if(waits).alias("n_pending"))
 
 
@@ -30,7 +31,7 @@ def last_n_days(df: DataFrame, column: str, days: int) -> DataFrame:
     newest = df.agg(F.max(column).alias("high")).first()["high"]
     if newest is None:
         return df
-    return df.where(F.col(column) > F.lit(newest) - F.make_dt_interval(F.lit(days)))
+    return df.where(F.col(column) > typed_lit(df, column, newest) - F.make_dt_interval(F.lit(days)))
 
 
 def processing_range(source: DataFrame, target: DataFrame, column: str) -> DataFrame:

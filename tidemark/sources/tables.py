@@ -7,10 +7,19 @@ read is split over a numeric or date column.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def typed_lit(df: DataFrame, column: str, value) -> Column:
+    """A literal in the type of a column, so that comparing them needs no cast of the column
+    and the predicate reaches the scan."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType) and not isinstance(value, str):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value).cast(df.schema[column].dataType)
 
 
 def read_files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -57,18 +66,23 @@ def only(df: DataFrame, where: str | None) -> DataFrame:
 
 def partition_rows(df: DataFrame, column: str, value) -> DataFrame:
     """Rows of one partition value."""
-    return df.where(F.col(column) == F.lit(value))
+    return df.where(F.col(column) == typed_lit(df, column, value))
 
 
 def range_rows(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     """Rows with ``low < column <= high``; a missing bound is open."""
     if low is not None:
-        df = df.where(F.col(column) > F.lit(low))
+        df = df.where(F.col(column) > typed_lit(df, column, low))
     if high is not None:
-        df = df.where(F.col(column) <= F.lit(high))
+        df = df.where(F.col(column) <= typed_lit(df, column, high))
     return df
 
 
+def rows_above(df: DataFrame, column: str, mark: str) -> DataFrame:
+    """Rows above a mark that was recorded as text."""
+    return df.where(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
+
+
 def rows_after(source: DataFrame, target: DataFrame, column: str, overlap: Column | None = None):
     """Source rows above the highest value of the target; all of them if it has none.
 
@@ -79,9 +93,6 @@ def rows_after(source: DataFrame, target: DataFrame, column: str, overlap: Colum
     if overlap is not None:
         mark = mark.select((F.col("high") - overlap).cast(target.schema[column].dataType).alias("high"))
     high = mark.first()["high"]
-    return source if high is None else source.where(F.col(column) > F.lit(high))
-
-
-def load_partitions(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Rows of a list of partition values."""
-    return df.where(F.col(column).isin(list(values)))
+    return source if high is None else source.where(
+        F.col(column) > typed_lit(source, column, high)
+    )
