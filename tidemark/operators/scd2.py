@@ -187,8 +187,8 @@ def backfill(
     source: DataFrame,
     target: DataFrame,
     table: Scd2Table,
-    low,
-    high,
+    low=None,
+    high=None,
     max_group_rows: int | None = None,
 ) -> DataFrame:
     """The target after source changes in ``(low, high]`` are fitted into its history.
