@@ -40,6 +40,20 @@ USERS = Scd2Table(
 )
 
 
+# Five keys, each with a fifth of all rows, cut into slices of at most this many rows.
+HOT_ROWS = 1500
+AMOUNTS = Scd2Table(
+    table="amounts",
+    keys=("action",),
+    last_modified="modified",
+    is_latest="is_latest",
+    effective_date="valid_from",
+    end_date="valid_to",
+    tracked=("band",),
+    tie_break=("event_no",),
+)
+
+
 def stamp(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -71,6 +85,16 @@ def user_changes(spark, sf):
     )
 
 
+def amount_changes(spark, sf):
+    value = F.col("value")
+    return load(spark, sf, "events").select(
+        F.col("event_type").alias("action"),
+        F.when(value < 20, "low").when(value < 80, "middle").otherwise("high").alias("band"),
+        F.col("ts").alias("modified"),
+        F.col("event_id").alias("event_no"),
+    )
+
+
 def damaged(spark, sf):
     """History whose flags were set wrongly by hand, both ways."""
     flag = (
@@ -89,6 +113,11 @@ USER_CHANGES = """user_changes AS (
   SELECT user_id, event_type AS action, ts AS modified, event_id AS event_no FROM events)"""
 
 
+AMOUNT_CHANGES = """amount_changes AS (
+  SELECT event_type AS action, CASE WHEN value < 20 THEN 'low' WHEN value < 80 THEN 'middle' ELSE 'high' END AS band,
+         ts AS modified, event_id AS event_no FROM events)"""
+
+
 def history_ctes(source: str, out: str, keys: str, tracked: str, tie: str) -> list[str]:
     """Full history by definition: one row per stamp, repeats out, end = next start."""
     return [
@@ -212,11 +241,13 @@ SELECT customer, channel, status, modified, order_no, TRUE, modified, NULL FROM
         ),
     ),
     "scd2_full_history_split_keys": Case(
-        lambda spark, sf: scd2.full_history(user_changes(spark, sf), USERS, max_group_rows=70),
+        lambda spark, sf: scd2.full_history(
+            amount_changes(spark, sf), AMOUNTS, max_group_rows=HOT_ROWS
+        ),
         with_ctes(
             [
-                USER_CHANGES,
-                *history_ctes("SELECT * FROM user_changes", "h", "user_id", "action", "event_no"),
+                AMOUNT_CHANGES,
+                *history_ctes("SELECT * FROM amount_changes", "h", "action", "band", "event_no"),
             ],
             "SELECT * FROM h",
         ),

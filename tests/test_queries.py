@@ -12,6 +12,18 @@ from tests.conftest import SF_DIR
 from tests.oracle import difference
 
 
+@pytest.fixture(autouse=True, scope="module")
+def compiled(spark):
+    """These queries run the way they do in production, with generated code."""
+    settings = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    before = [spark.conf.get(s) for s in settings]
+    for setting, value in zip(settings, ("true", "FALLBACK"), strict=True):
+        spark.conf.set(setting, value)
+    yield
+    for setting, value in zip(settings, before, strict=True):
+        spark.conf.set(setting, value)
+
+
 @pytest.mark.parametrize("key", list(ALL_CASES))
 def test_query_matches_sql(key, spark, sql):
     case = ALL_CASES[key]

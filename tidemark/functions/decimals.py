@@ -5,33 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: sign, integer digits, fraction digits and exponent of a number as text.
-NUMBER = r"^[+-]?([0-9]*)(?:\.([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
+# Fixed value: a number as text, with optional sign, fraction and exponent.
+NUMBER = r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
 def _text(value: Column) -> Column:
     return F.trim(value.cast("string"))
 
 
+def _mantissa(text: Column) -> Column:
+    return F.substring_index(F.substring_index(text, "e", 1), "E", 1)
+
+
 def is_number(value: Column) -> Column:
     """Whether the text form is a number; null for null."""
-    text = _text(value)
-    return text.rlike(NUMBER) & text.rlike("[0-9]") & ~text.rlike("^[+-]?[.]?[eE]")
+    return _text(value).rlike(NUMBER)
 
 
 def significant_digits(value: Column) -> Column:
     """Digits without leading zeros, at least one; trailing zeros count."""
-    text = _text(value)
-    digits = F.concat(F.regexp_extract(text, NUMBER, 1), F.regexp_extract(text, NUMBER, 2))
-    return F.greatest(F.length(F.ltrim(digits, F.lit("0"))), F.lit(1))
+    digits = F.ltrim(F.replace(_mantissa(_text(value)), F.lit("."), F.lit("")), F.lit("+-0"))
+    return F.greatest(F.length(digits), F.lit(1))
 
 
 def scale_of(value: Column) -> Column:
     """Digits after the decimal point, with an exponent worked in."""
     text = _text(value)
-    exponent = F.regexp_extract(text, NUMBER, 3)
-    moved = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
-    return F.greatest(F.length(F.regexp_extract(text, NUMBER, 2)) - moved, F.lit(0))
+    mantissa = _mantissa(text)
+    point = F.instr(mantissa, ".")
+    decimals = F.when(point > 0, F.length(mantissa) - point).otherwise(0)
+    # the exponent is what follows the mantissa and its mark
+    exponent = F.substring(text, F.length(mantissa) + 2, F.length(text)).try_cast("int")
+    has_exponent = F.length(mantissa) < F.length(text)
+    return F.greatest(F.when(has_exponent, decimals - exponent).otherwise(decimals), F.lit(0))
 
 
 def decimal_problem(value: Column, precision: int, scale: int) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.decimals import decimal_problem, exact_decimal
+from tidemark.functions.once import with_once
 
 
 def decimal_cast(df: DataFrame, sizes: Mapping[str, tuple[int, int]], strict: bool = True):
@@ -20,7 +21,7 @@ def decimal_cast(df: DataFrame, sizes: Mapping[str, tuple[int, int]], strict: bo
 def decimal_overflow_rows(df: DataFrame, column: str, precision: int, scale: int) -> DataFrame:
     """Rows whose value has too many digits, with the ``problem``."""
     problem = decimal_problem(F.col(column), precision, scale)
-    return df.withColumn("problem", problem).where(F.col("problem").isNotNull())
+    return with_once(df, "problem", problem).where(F.col("problem").isNotNull())
 
 
 def decimal_compare_rows(

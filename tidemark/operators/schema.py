@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.decimals import decimal_problem, exact_decimal
+from tidemark.functions.once import with_once
 
 Issue = tuple[str, str, str]
 
@@ -51,7 +52,7 @@ def conversion_problems(schema: T.StructType) -> Column:
 
 def quarantine(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Rows that convert, typed; and the rows that do not, as they came, with ``problems``."""
-    marked = df.withColumn("problems", conversion_problems(schema))
+    marked = with_once(df, "problems", conversion_problems(schema))
     good = marked.where(F.col("problems").isNull()).select(
         *[_converted(f, strict=False) for f in schema]
     )

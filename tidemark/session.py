@@ -8,11 +8,11 @@ from pyspark.sql import SparkSession
 
 # Rows of one key that a single window task may hold before the key is split.
 MAX_GROUP_ROWS_KEY = "spark.tidemark.maxGroupRows"
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 10_000_000
 
-# Row targets used when data is laid out for writing or range-split.
+# Rows aimed at per slice of a key that is split.
 ROWS_PER_SLICE_KEY = "spark.tidemark.rowsPerSlice"
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_SLICE = 10_000_000
 
 CONFS = {
     "spark.sql.session.timeZone": "UTC",
