@@ -113,62 +113,55 @@ def partition_candidates(df: DataFrame, max_values: int = 20_000) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
-def _issue(df: DataFrame, table: str, rule: str, column: str, n: Column) -> DataFrame:
-    return df.agg(n.alias("n")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column_name"),
-        F.col("n"),
-    )
-
-
-def _null_issues(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    return null_counts(df, columns).select(
-        F.lit(table).alias("table_name"),
-        F.lit("null_key").alias("rule"),
-        "column_name",
-        F.col("n_nulls").alias("n"),
-    )
+def _found(counts: DataFrame, table: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per (rule, column) from a row that has their counts as ``_0``, ``_1``, ..."""
+    entries = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(rule).alias("rule"),
+            F.lit(column).alias("column_name"),
+            F.coalesce(F.col(f"_{i}"), F.lit(0)).cast("bigint").alias("n"),
+        )
+        for i, (rule, column) in enumerate(rules)
+    ]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def table_issues(table: TableConfig, df: DataFrame) -> DataFrame:
-    """``table_name, rule, column_name, n`` of every rule of the table's pattern."""
+    """``table_name, rule, column_name, n`` of every rule of the table's pattern.
+
+    One aggregate by key serves all rules of a table.
+    """
     name = table.table
-    rows = F.count(F.lit(1))
     if isinstance(table, PartitionTable):
-        return _null_issues(df, name, [table.partition_column])
-    if isinstance(table, StaticTable):
-        found = _issue(df, name, "empty_table", "", F.when(rows == 0, 1).otherwise(0).cast("bigint"))
-        if not table.primary_keys:
-            return found
-        keys = ",".join(table.primary_keys)
-        twice = _issue(duplicate_keys(df, table.primary_keys), name, "duplicate_key", keys, rows)
-        nulls = _null_issues(df, name, table.primary_keys)
-        return found.unionByName(twice).unionByName(nulls)
+        keys, together = (table.partition_column,), ""
+        measures: dict[str, Column] = {}
+    elif isinstance(table, StaticTable):
+        keys, together = table.primary_keys, ",".join(table.primary_keys)
+        measures = {"duplicate_key": F.col("_rows") > 1} if keys else {}
+    elif isinstance(table, Scd2Table):
+        keys, together = table.keys, ",".join(table.keys)
+        measures = {
+            "multiple_latest": F.col("_current") > 1,
+            "no_latest": F.col("_current") == 0,
+        }
+    else:
+        raise TypeError(f"no rules for {table!r}")
+
+    aggregates = [F.count(F.lit(1)).alias("_rows")]
     if isinstance(table, Scd2Table):
-        keys = ",".join(table.keys)
-        flags = F.count_if(F.coalesce(F.col(table.is_latest), F.lit(False)))
-        per_key = df.groupBy(*table.keys).agg(flags.alias("_current"))
-        both = per_key.agg(
-            F.count_if(F.col("_current") > 1).alias("multiple_latest"),
-            F.count_if(F.col("_current") == 0).alias("no_latest"),
-        ).select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(name).alias("table_name"),
-                            F.lit(rule).alias("rule"),
-                            F.lit(keys).alias("column_name"),
-                            F.col(rule).alias("n"),
-                        )
-                        for rule in ("multiple_latest", "no_latest")
-                    ]
-                )
-            )
-        )
-        return both.unionByName(_null_issues(df, name, table.keys))
-    raise TypeError(f"unknown table description: {table!r}")
+        flag = F.coalesce(F.col(table.is_latest), F.lit(False))
+        aggregates.append(F.count_if(flag).alias("_current"))
+    per_key = df.groupBy(*keys).agg(*aggregates)
+
+    rules = [("empty_table", ""), *[(rule, together) for rule in measures]]
+    totals = [F.when(F.coalesce(F.sum("_rows"), F.lit(0)) == 0, 1).otherwise(0)]
+    totals += [F.count_if(condition) for condition in measures.values()]
+    for key in keys:
+        rules.append(("null_key", key))
+        totals.append(F.sum(F.when(F.col(key).isNull(), F.col("_rows"))))
+    counts = per_key.agg(*[total.alias(f"_{i}") for i, total in enumerate(totals)])
+    return _found(counts, name, rules)
 
 
 def validate_all(tables: Sequence[tuple[TableConfig, DataFrame]]) -> DataFrame:

@@ -37,11 +37,6 @@ def current(target: DataFrame, table: Scd2Table) -> DataFrame:
     return target.where(F.col(table.is_latest))
 
 
-def current_versions(target: DataFrame, table: Scd2Table) -> DataFrame:
-    """One current row per key, also where the flags are damaged."""
-    return batch_latest(current(target, table), table)
-
-
 def as_of(target: DataFrame, table: Scd2Table, moment: Column) -> DataFrame:
     """The version of each key that was valid at ``moment``."""
     started = F.col(table.effective_date) <= moment
@@ -54,26 +49,31 @@ def changed_since(source: DataFrame, table: Scd2Table, low=None, high=None) -> D
     return range_rows(source, table.last_modified, low, high)
 
 
+def _newest_values(newest: DataFrame, table: Scd2Table, tracked: list[str]) -> DataFrame:
+    """Keys of a reduced batch with what a current row has to be compared with."""
+    return newest.select(
+        *table.keys, F.struct(*tracked).alias("_new"), F.col(table.last_modified).alias("_end")
+    )
+
+
 def classify(batch: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
     """Newest batch row per key with ``change``: new, updated or unchanged.
 
-    An update needs a null-safe difference in a tracked attribute.
+    A key is unchanged if a current row has the same tracked attributes, null included.
     """
     newest = batch_latest(batch, table)
     tracked = table.tracked_in(batch.columns)
-    touched = current(target, table).join(
-        newest.select(*table.keys), list(table.keys), "left_semi"
-    )
-    old = batch_latest(touched, table).select(
-        *table.keys, F.struct(*tracked).alias("_old"), F.lit(True).alias("_known")
-    )
-    same = F.struct(*tracked).eqNullSafe(F.col("_old"))
-    change = (
-        F.when(F.col("_known").isNull(), NEW).when(same, UNCHANGED).otherwise(UPDATED)
+    keys = list(table.keys)
+    known = (
+        current(target, table)
+        .join(_newest_values(newest, table, tracked), keys)
+        .groupBy(*keys)
+        .agg(F.bool_or(F.struct(*tracked).eqNullSafe(F.col("_new"))).alias("_same"))
     )
+    change = F.when(F.col("_same").isNull(), NEW).when(F.col("_same"), UNCHANGED)
     return (
-        newest.join(old, list(table.keys), "left")
-        .withColumn("change", change)
+        newest.join(known, keys, "left")
+        .withColumn("change", change.otherwise(UPDATED))
         .select(*batch.columns, "change")
     )
 
@@ -104,31 +104,27 @@ def inserts(batch: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
     return _new_versions(rows, target, table)
 
 
-def _expire_with(
-    rows: DataFrame, ends: DataFrame, table: Scd2Table, end_ts: Column | None
-) -> DataFrame:
-    """Close current rows whose key is in ``ends`` (keys, _end); one row per key there."""
-    joined = rows.join(ends, list(table.keys), "left")
-    hit = F.col("_end").isNotNull()
+def _close(joined: DataFrame, table: Scd2Table, hit: Column, end_ts: Column | None) -> DataFrame:
+    """Rows joined with ``_end``: those that are hit are no longer current and end there."""
     changes = {table.is_latest: F.col(table.is_latest) & ~hit}
     if table.end_date:
         end = F.col("_end") if end_ts is None else end_ts
         changes[table.end_date] = F.when(hit, end).otherwise(F.col(table.end_date))
-    return joined.withColumns(changes).select(*rows.columns)
+    return joined.withColumns(changes)
 
 
-def _updates(batch: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
-    rows = classify(batch, target, table).where(F.col("change") == UPDATED)
-    return rows.select(*table.keys, F.col(table.last_modified).alias("_end"))
+def _differs(tracked: list[str]) -> Column:
+    return F.col("_end").isNotNull() & ~F.struct(*tracked).eqNullSafe(F.col("_new"))
 
 
 def expired(
     batch: DataFrame, target: DataFrame, table: Scd2Table, end_ts: Column | None = None
 ) -> DataFrame:
     """Current versions closed by the batch, as they look afterwards."""
-    ends = _updates(batch, target, table)
-    closed = current(target, table).join(ends.select(*table.keys), list(table.keys), "left_semi")
-    return _expire_with(closed, ends, table, end_ts)
+    tracked = table.tracked_in(batch.columns)
+    values = _newest_values(batch_latest(batch, table), table, tracked)
+    touched = current(target, table).join(values, list(table.keys)).where(_differs(tracked))
+    return _close(touched, table, F.lit(True), end_ts).select(*target.columns)
 
 
 def apply_batch(
@@ -136,12 +132,14 @@ def apply_batch(
 ) -> DataFrame:
     """The target after the batch, each key collapsed to its newest batch row.
 
-    The old version ends when the new one was modified, or at ``end_ts``.
+    The old version ends when the new one was modified, or at ``end_ts``. A key with
+    several current rows is left with the rows that equal the batch, or the new one.
     """
+    tracked = table.tracked_in(batch.columns)
+    values = _newest_values(batch_latest(batch, table), table, tracked)
     history = target.where(~F.col(table.is_latest))
-    kept = _expire_with(
-        current(target, table), _updates(batch, target, table), table, end_ts
-    )
+    joined = current(target, table).join(values, list(table.keys), "left")
+    kept = _close(joined, table, _differs(tracked), end_ts).select(*target.columns)
     return history.unionByName(kept).unionByName(inserts(batch, target, table))
 
 
@@ -152,7 +150,8 @@ def append_and_expire(
     batch as it comes, without a change test."""
     ends = batch.groupBy(*table.keys).agg(F.min(table.last_modified).alias("_end"))
     history = target.where(~F.col(table.is_latest))
-    kept = _expire_with(current(target, table), ends, table, end_ts)
+    joined = current(target, table).join(ends, list(table.keys), "left")
+    kept = _close(joined, table, F.col("_end").isNotNull(), end_ts).select(*target.columns)
     return history.unionByName(kept).unionByName(_new_versions(batch, target, table))
 
 
