@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tidemark.session import ensure_checkpoint_dir, max_group_rows, rows_per_slice
 
 SLICE = "_slice"
+# Counted rows up to which a table of keys or slice edges is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -33,6 +35,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def _small(df: DataFrame, n_rows: int) -> DataFrame:
+    """Broadcast a table whose number of rows was counted and is small."""
+    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key in ``order``; Spark prunes to one row per key map-side."""
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
@@ -48,7 +55,7 @@ class OrderedRows:
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    cut: bool
+    n_edges: int = 0
 
     @classmethod
     def of(
@@ -69,27 +76,21 @@ class OrderedRows:
         limit = max_rows or max_group_rows(spark)
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         hot = counts.where(F.col("_rows") > limit)
-        hot_total = hot.agg(F.sum("_rows").alias("n")).first()["n"]
-
-        if hot_total is None:
-            rows = cls(df, tuple(keys), tuple(order), cut=False)
-            if unique_on:
-                following = rows.next(unique_on, "_after").df
-                is_last = ~F.struct(*unique_on).eqNullSafe(F.col("_after"))
-                rows = replace(rows, df=following.where(is_last).drop("_after"))
-            return rows
+        found = hot.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("keys")).first()
+        if not found["keys"]:
+            return cls(df, tuple(keys), tuple(order))._last_of(unique_on)
 
         ensure_checkpoint_dir(spark)
         hot_rows, other_rows = df, None
         if keys:
-            hot_keys = hot.select(*keys)
+            # few by construction: each stands for more than ``limit`` rows
+            hot_keys = _small(hot.select(*keys).checkpoint(), found["keys"])
             hot_rows = join_null_safe(df, hot_keys, keys, "left_semi")
             other_rows = join_null_safe(df, hot_keys, keys, "left_anti")
         if unique_on:
+            # before the range shuffle, which cannot part rows that are equal in the order
             hot_rows = latest_per_key(hot_rows, [*keys, *unique_on], order)
-            if other_rows is not None:
-                other_rows = latest_per_key(other_rows, [*keys, *unique_on], order)
-        slices = max(2, math.ceil(hot_total / min(limit, rows_per_slice(spark))))
+        slices = max(2, math.ceil(found["rows"] / min(limit, rows_per_slice(spark))))
         sliced = (
             hot_rows.repartitionByRange(slices, *keys, *order)
             .withColumn(SLICE, F.spark_partition_id())
@@ -97,7 +98,21 @@ class OrderedRows:
         )
         if other_rows is not None:
             sliced = sliced.unionByName(other_rows.withColumn(SLICE, F.lit(-1)))
-        return cls(sliced, tuple(keys), tuple(order), cut=True)
+        return cls(sliced, tuple(keys), tuple(order), slices + found["keys"])._last_of(unique_on)
+
+    def _last_of(self, unique_on: Sequence[str]) -> OrderedRows:
+        """Keep the last of the rows equal in ``unique_on``; they are in one group."""
+        if not unique_on:
+            return self
+        window = Window.partitionBy(*self._groups).orderBy(*self.order)
+        stamp = F.struct(*unique_on)
+        following = self.df.withColumn("_after", F.lead(stamp).over(window))
+        return replace(self, df=following.where(~stamp.eqNullSafe(F.col("_after"))).drop("_after"))
+
+    @property
+    def cut(self) -> bool:
+        """Whether some key was cut into slices."""
+        return self.n_edges > 0
 
     @property
     def _groups(self) -> tuple[str, ...]:
@@ -140,7 +155,7 @@ class OrderedRows:
         carried = edges.select(
             *self._groups, step(F.col("_edge")["_payload"]).over(across).alias("_carried")
         ).where(F.col("_carried").isNotNull())
-        joined = join_null_safe(local, carried, self._groups, "left")
+        joined = join_null_safe(local, _small(carried, self.n_edges), self._groups, "left")
         return replace(self, df=joined.withColumn(out, F.coalesce(out, "_carried")).drop("_carried"))
 
     def positions(self, out: str) -> OrderedRows:
@@ -160,6 +175,6 @@ class OrderedRows:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
         )
         offsets = sizes.select(*self._groups, F.sum("_size").over(before).alias("_offset"))
-        joined = join_null_safe(local, offsets, self._groups, "left")
+        joined = join_null_safe(local, _small(offsets, self.n_edges), self._groups, "left")
         shifted = F.col(out) + F.coalesce(F.col("_offset"), F.lit(0))
         return replace(self, df=joined.withColumn(out, shifted).drop("_offset"))
