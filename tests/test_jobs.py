@@ -323,6 +323,38 @@ def test_run_over_all_tables(spark, store, at):
     assert (again["reason"], again["total_records"]) == ("unchanged", 0)
 
 
+def test_status_shows_what_waits(spark, store, at):
+    described = [FACTS, PEOPLE, CODES, LOG]
+    sources = {
+        "facts": lambda s: facts(s, 1, 2),
+        "people": lambda s: people(s, *DAY1),
+        "codes": lambda s: codes(s, (1, "a")),
+        "log": lambda s: s.range(4).toDF("n"),
+    }
+    before = jobs.status(store, described, sources)
+    assert rows(before, "table_name", "n_pending", "last_value") == [
+        ("codes", 1, None), ("facts", 2, None), ("log", 4, None), ("people", 3, None),
+    ]
+    jobs.run(store, described, sources, now=at(0))
+    sources["facts"] = lambda s: facts(s, 1, 2, 3)
+    sources["people"] = lambda s: people(s, *DAY1, *DAY2)
+    sources["log"] = lambda s: s.range(6).toDF("n")
+    after = jobs.status(store, described, sources)
+    assert rows(after, "table_name", "n_pending", "last_value") == [
+        ("codes", 0, None), ("facts", 1, "2"), ("log", 2, "3"), ("people", 3, "20"),
+    ]
+    assert after.where("updated_at IS NOT NULL").count() == 4
+
+
+def test_files_follow_the_settings(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    plain = Store(spark, str(tmp_path / "s"), compression="snappy")
+    plain.write(spark.range(10).toDF("n").coalesce(1), "t", "data", "L", APPEND)
+    file = next((tmp_path / "s" / "t" / "data" / "load_id=L").glob("*.parquet"))
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "SNAPPY"
+
+
 def test_jdbc_options():
     options = tables.jdbc_options(
         "jdbc:sqlserver://host", "dbo.t", "x > 1", split_on="id", bounds=(1, 100), partitions=8

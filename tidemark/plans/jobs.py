@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,8 +203,8 @@ def load_scd2_table(
     """Extract source changes above the published mark and apply them.
 
     The current slice is rewritten; superseded versions are only added to the history,
-    so the cost of a run does not grow with the length of the history. Full-history mode
-    rebuilds the versions of touched keys, because a late row may fall between versions.
+    so the cost of a run does not grow with the length of the history. Source rows that
+    turn up below the mark are a matter for ``backfill_scd2_table``.
     """
     name, mark = table.table, table.last_modified
     rows = only(source, table.where)
@@ -222,14 +223,16 @@ def load_scd2_table(
     batch = store.read_load(name, extract)
     if current is None:
         after, mode, reason = _first_versions(batch, table), REPLACE, "initial_load"
-    elif table.mode == "full_history":
-        after = scd2.backfill(batch, versioned_rows(store, table), table)
-        mode, reason = REPLACE, "incremental_update"
     else:
-        apply = scd2.append_and_expire if table.mode == "append" else scd2.apply_batch
-        # the current slice holds no superseded rows: what is superseded after is new
-        after = apply(batch, current, table)
-        mode, reason = APPEND, "incremental_update"
+        # Every batch row is above the mark, so nothing falls between older versions and
+        # the current slice is all that is needed. It holds no superseded rows: what is
+        # superseded afterwards is new history.
+        apply = {
+            "collapse": scd2.apply_batch,
+            "append": scd2.append_and_expire,
+            "full_history": scd2.backfill,
+        }[table.mode]
+        after, mode, reason = apply(batch, current, table), APPEND, "incremental_update"
     _publish_versions(store, table, after, mode, load_id, now, reason, extract.last_value)
     return reason, extract.records
 
@@ -429,6 +432,48 @@ def run(
     return log
 
 
+def status(
+    store: Store,
+    tables: Iterable[TableConfig],
+    sources: Mapping[str, Callable[[SparkSession], DataFrame]],
+) -> DataFrame:
+    """Per table: the newest load and what waits in the source.
+
+    ``n_pending`` counts rows above the mark, for partition tables the partition values
+    not loaded yet, and for reference tables all rows if their content has changed.
+    """
+    waiting = []
+    for table in tables:
+        rows = only(sources[table.table](store.spark), table.where)
+        state = store.state(table.table)
+        if isinstance(table, PartitionTable):
+            have = store.partitions(table.table)
+            column = table.partition_column
+            values = partitions.new_partition_values(rows, column)
+            if have is not None:
+                values = partitions.missing_partitions(rows, have, column)
+            pending = values.agg(F.count(F.lit(1)).alias("n_pending"))
+        elif isinstance(table, StaticTable):
+            printed = table_fingerprint(rows, algorithm=table.hash_algorithm)
+            same = F.col("fingerprint").eqNullSafe(F.lit(state["last_hash"] if state else None))
+            pending = printed.select(F.when(same, 0).otherwise(F.col("row_count")).alias("n_pending"))
+        else:
+            mark = table.last_modified if isinstance(table, Scd2Table) else table.watermark_column
+            fresh = rows_above(rows, mark, state["last_value"]) if state else rows
+            pending = fresh.agg(F.count(F.lit(1)).alias("n_pending"))
+        waiting.append(
+            pending.select(
+                F.lit(table.table).alias("table_name"),
+                F.lit(table.kind).alias("table_type"),
+                F.col("n_pending").cast("bigint"),
+            )
+        )
+    newest = watermark.latest_state(store.loads()).select(
+        "table_name", "last_value", "last_hash", "updated_at", "records"
+    )
+    return reduce(DataFrame.unionByName, waiting).join(newest, "table_name", "left")
+
+
 def run_log(store: Store) -> DataFrame:
     """The log of every run."""
     return store.spark.read.schema(RUN_LOG).parquet(store.path("_run_log"))

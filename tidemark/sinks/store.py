@@ -19,6 +19,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,19 @@ class Written:
 class Store:
     """Published tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, compression: str = "zstd"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        compression: str = "zstd",
+        row_group_bytes: int = 128 * 1024 * 1024,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.compression = compression
+        self.file_options = {
+            "compression": compression,
+            "parquet.block.size": str(row_group_bytes),
+        }
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -68,10 +78,10 @@ class Store:
 
     def loads(self, table: str | None = None) -> DataFrame:
         """Rows of the load log, each load once even if it was published twice."""
-        empty = self.spark.createDataFrame([], LOADS)
-        if not self._exists(self.path("_loads")):
-            return empty
-        rows = self.spark.read.schema(empty.schema).parquet(self.path("_loads"))
+        schema = T.StructType.fromDDL(LOADS)
+        rows = self._read_if_there(self.path("_loads"), schema)
+        if rows is None:
+            return self.spark.createDataFrame([], schema)
         if table is not None:
             rows = rows.where(F.col("table_name") == table)
         return rows.dropDuplicates(["table_name", "part", "load_id"])
@@ -247,10 +257,9 @@ class Store:
         have = self.partitions(table)
         if have is None:
             raise ValueError(f"{table} has no published partitions")
-        read = self.spark.read.schema(have.schema)
-        added = read.parquet(staging).select(column).distinct()
-        if self._exists(archive):
-            archived = read.parquet(archive)
+        added = self.spark.read.schema(have.schema).parquet(staging).select(column).distinct()
+        archived = self._read_if_there(archive, have.schema)
+        if archived is not None:
             added = added.join(archived.select(column).distinct(), column, "left_anti")
             self._replace(archived, table, column)
         nothing = have.where(F.lit(False)).drop(column)
@@ -264,7 +273,7 @@ class Store:
             rows.hint("rebalance", F.col(column))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .option("compression", self.compression)
+            .options(**self.file_options)
             .partitionBy(column)
             .parquet(self.path(table, PARTITIONS))
         )
@@ -273,12 +282,14 @@ class Store:
         writer = (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .option("compression", self.compression)
+            .options(**self.file_options)
         )
         (writer.partitionBy(column) if column else writer).parquet(path)
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return folder.getFileSystem(conf).exists(folder)
+    def _read_if_there(self, path: str, schema: T.StructType) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
