@@ -359,6 +359,8 @@ FROM (SELECT cobid, count_if(side = 1) AS source_rows, count_if(side = 2) AS sto
     "timestamp_gaps": Case(
         lambda spark, sf: watermark.timestamp_gaps(
             load(spark, sf, "orders"), "o_orderdate", ("o_custkey",)
+        ).withColumns(
+            {c: F.col(c).cast("timestamp_ntz") for c in ("last_seen", "next_seen")}
         ),
         """SELECT * FROM (
   SELECT o_custkey, o_orderdate AS last_seen, lead(o_orderdate) OVER w AS next_seen,

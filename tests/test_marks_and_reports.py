@@ -53,7 +53,7 @@ def test_least_known_mark_wins(spark):
 
 
 def test_timestamp_gaps(spark):
-    days = [dt.datetime(2024, 1, d, 5) for d in (1, 2, 5, 6, 9)]
+    days = [dt.datetime(2024, 1, d, 5 * d // 2) for d in (1, 2, 5, 6, 9)]
     df = spark.createDataFrame([(d,) for d in days], "t timestamp_ntz")
     gaps = watermark.timestamp_gaps(df, "t")
     assert [(r[0].day, r[1].day, r[2]) for r in gaps.collect()] == [(2, 5, 2), (6, 9, 2)]

@@ -100,9 +100,8 @@ def load_alerts(run_log: DataFrame, now: Column, retries: int = 3) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_failures"))
     )
     joined = per_table.join(since, "table_name", "left")
-    silent = F.col("_newest").isNull() | (
-        F.timestamp_diff("HOUR", F.col("_newest.finished_at"), now) >= SILENT_HOURS
-    )
+    limit = now - F.make_dt_interval(hours=F.lit(SILENT_HOURS))
+    silent = F.col("_newest").isNull() | (F.col("_newest.finished_at") <= limit)
     earlier = (F.col("_seconds") - F.col("_newest.seconds")).cast("double")
     mean_before = F.try_divide(earlier, (F.col("_n_good") - 1).cast("double"))
     slow = F.col("_newest.seconds").cast("double") > mean_before * SLOW_FACTOR

@@ -94,20 +94,21 @@ def reconcile_state(marks: DataFrame) -> DataFrame:
     )
 
 
-def timestamp_gaps(
-    df: DataFrame, column: str, by: tuple[str, ...] = (), unit: str = "day"
-) -> DataFrame:
-    """Stretches without any row: ``*by, last_seen, next_seen, n_missing`` units between."""
+def timestamp_gaps(df: DataFrame, column: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Stretches of days without any row: ``*by, last_seen, next_seen, n_missing``.
+
+    Days are dates of the stamps, so no time zone takes part.
+    """
     seen = df.where(F.col(column).isNotNull()).select(
-        *by, F.date_trunc(unit, column).cast("timestamp_ntz").alias("last_seen")
+        *by, F.col(column).cast("date").alias("last_seen")
     )
     following = (
         OrderedRows.of(seen.distinct(), by, ["last_seen"]).next(["last_seen"], "_after").rows()
     )
-    steps = F.timestamp_diff(unit.upper(), F.col("last_seen"), F.col("next_seen"))
+    between = F.date_diff("next_seen", "last_seen").cast("bigint") - 1
     return (
         following.withColumn("next_seen", F.col("_after.last_seen"))
-        .withColumn("n_missing", steps - 1)
+        .withColumn("n_missing", between)
         .where(F.col("n_missing") > 0)
         .select(*by, "last_seen", "next_seen", "n_missing")
     )
