@@ -49,14 +49,19 @@ def load_times(spark, sf_dir: str) -> dict[str, float]:
     store = Store(spark, tempfile.mkdtemp(prefix="tidemark-bench-"))
     facts = PartitionTable("lineitem", "month")
     lines = shipped(spark, sf_dir).withColumn("month", F.floor(F.col("cobid") / 100).cast("int"))
+    staged = []
     accounts = changes(spark, sf_dir)
     earlier = accounts.where(F.col("modified") < stamp(CUTOFF))
     codes = StaticTable("part", primary_keys=("p_partkey",), load_strategy="upsert")
     steps = {
         "load_partition_table": lambda: jobs.load_partition_table(store, facts, lines),
-        "switch_one_partition": lambda: jobs.backfill_partition_table(
+        "backfill_one_partition": lambda: jobs.backfill_partition_table(
             store, facts, lines, values=[199706]
         ),
+        "stage_one_partition": lambda: staged.append(
+            store.stage(lines.where("month = 199707"), "lineitem", "month", "bench")
+        ),
+        "switch_one_partition": lambda: store.switch("lineitem", "month", staged[0]),
         "load_scd2_first": lambda: jobs.load_scd2_table(store, ACCOUNTS, earlier),
         "load_scd2_next": lambda: jobs.load_scd2_table(store, ACCOUNTS, accounts),
         "load_static_table": lambda: jobs.load_static_table(store, codes, parts(spark, sf_dir)),

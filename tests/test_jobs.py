@@ -366,6 +366,19 @@ def test_jdbc_options():
         tables.jdbc_options("jdbc:x", "t", split_on="id")
 
 
+def test_rejected_rows_are_kept(spark, store, at):
+    from tidemark.functions.types import spark_schema
+
+    wanted = spark_schema({"id": {"data_type": "int"}, "name": {"data_type": "varchar"}})
+    raw = spark.createDataFrame([("1", "a"), ("x", "b"), ("3", "c")], "id string, name string")
+    with pytest.raises(schema.TooManyErrors):
+        jobs.convert_source(store, CODES, raw, wanted)
+    good = jobs.convert_source(store, CODES, raw, wanted, error_threshold=0.5, now=at(0))
+    jobs.load_static_table(store, CODES, good, now=at(0))
+    assert rows(store.read("codes", "data")) == [(1, "a"), (3, "c")]
+    assert rows(store.read("codes.rejected", "data")) == [("x", "b", "id")]
+
+
 def test_typed_read_of_a_table(spark):
     df = spark.createDataFrame([("1", "2024-01-01")], "id string, day string")
     from tidemark.functions.types import spark_schema

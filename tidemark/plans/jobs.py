@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import (
     AppendTable,
@@ -26,6 +27,7 @@ from tidemark.config import (
 )
 from tidemark.functions.canonical import table_fingerprint
 from tidemark.operators import partitions, scd2, scd2_checks, static, watermark
+from tidemark.operators.schema import quarantine, require_error_rate
 from tidemark.sinks.store import APPEND, REPLACE, CheckFailed, Store
 from tidemark.sources.tables import only, rows_above, rows_after
 
@@ -50,6 +52,29 @@ def _nothing(reason: str) -> Outcome:
     return reason, 0
 
 
+# ---- sources that arrive as text --------------------------------------------
+
+
+def convert_source(
+    store: Store,
+    table: TableConfig,
+    raw: DataFrame,
+    schema: T.StructType,
+    error_threshold: float = 0.0,
+    load_id: str | None = None,
+    now: dt.datetime | None = None,
+) -> DataFrame:
+    """The raw rows in declared types. Rows that do not convert are kept aside as they came,
+    under ``<table>.rejected``; above ``error_threshold`` the load stops."""
+    require_error_rate(raw, schema, error_threshold)
+    good, bad = quarantine(raw, schema)
+    rejected = f"{table.table}.rejected"
+    written = store.write(bad, rejected, DATA, load_id or new_load_id(), APPEND)
+    if written.records:
+        store.publish(rejected, table.kind, [written], now or utc_now(), "rejected")
+    return good
+
+
 # ---- partition tables -------------------------------------------------------
 
 

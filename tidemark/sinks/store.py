@@ -269,9 +269,10 @@ class Store:
             nothing.write.mode("overwrite").parquet(folder)
 
     def _replace(self, rows: DataFrame, table: str, column: str) -> None:
+        # the rows come from folders that are laid out by partition value already, so they
+        # are copied file by file, without a shuffle
         (
-            rows.hint("rebalance", F.col(column))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .options(**self.file_options)
             .partitionBy(column)
