@@ -33,6 +33,8 @@ def test_names_are_trimmed():
         lambda: Scd2Table("t", ("a",), last_modified=" "),
         lambda: Scd2Table("t", ("a",), mode="other"),
         lambda: Scd2Table("t", ("a",), initial_load_days=-1),
+        lambda: Scd2Table("t", ("a",), overlap_seconds=0),
+        lambda: Scd2Table("t", ("a",), overlap_seconds=5, mode="append"),
         lambda: StaticTable("t", load_strategy="upsert"),
         lambda: StaticTable("t", load_strategy="merge"),
         lambda: StaticTable("t", hash_algorithm="crc"),

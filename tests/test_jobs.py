@@ -164,6 +164,24 @@ def test_first_load_of_recent_days_only(spark, store, at):
     assert jobs.load_scd2_table(store, table, late, now=at(2)) == ("no_new_records", 0)
 
 
+def test_overlap_catches_rows_that_share_the_mark(spark, store, at):
+    table = Scd2Table(
+        "p", ("id",), "modified", "is_latest", end_date="ends", tracked=("name",), overlap_seconds=60
+    )
+    noon = dt.datetime(2024, 1, 1, 12)
+    names = "id int, name string, modified timestamp_ntz"
+    first = [(1, "a", noon - dt.timedelta(hours=1)), (2, "b", noon)]
+    jobs.load_scd2_table(store, table, spark.createDataFrame(first, names), now=at(0))
+    # key 3 turns up later with the stamp of the mark, key 1 changes just before it
+    more = [*first, (3, "c", noon), (1, "x", noon - dt.timedelta(seconds=30))]
+    for n in (1, 2):
+        jobs.load_scd2_table(store, table, spark.createDataFrame(more, names), now=at(n))
+        versions = jobs.versioned_rows(store, table)
+        assert rows(versions, "id", "name", "is_latest") == [
+            (1, "a", False), (1, "x", True), (2, "b", True), (3, "c", True),
+        ]
+
+
 def test_full_history_fits_late_rows_in(spark, store, at):
     table = Scd2Table(
         "people", ("id",), "modified", "is_latest", "starts", "ends",

@@ -67,6 +67,9 @@ class Scd2Table:
     ``mode`` says what a batch becomes: "collapse" keeps the newest row of each key if it
     differs, "full_history" keeps every distinct version and fits late rows in, "append"
     adds the rows as they come.
+
+    ``overlap_seconds`` makes a run read that much below its mark again, for rows that
+    arrive late with a stamp already passed. Only "collapse" can take a row twice.
     """
 
     table: str
@@ -78,6 +81,7 @@ class Scd2Table:
     tracked: tuple[str, ...] | None = None
     tie_break: tuple[str, ...] = ()
     initial_load_days: int | None = None
+    overlap_seconds: int | None = None
     where: str | None = None
     mode: str = "collapse"
     kind: str = field(default="scd", init=False)
@@ -100,6 +104,11 @@ class Scd2Table:
             raise ValueError(f"mode must be one of {SCD2_MODES}")
         if self.initial_load_days is not None and self.initial_load_days <= 0:
             raise ValueError("initial_load_days must be positive")
+        if self.overlap_seconds is not None:
+            if self.overlap_seconds <= 0:
+                raise ValueError("overlap_seconds must be positive")
+            if self.mode != "collapse":
+                raise ValueError("overlap_seconds belongs to the collapse mode")
 
     @property
     def order(self) -> tuple[str, ...]:

@@ -241,7 +241,7 @@ def load_scd2_table(
     else:
         # the mark is published together with the rows it speaks of; rows that brought no
         # change move it too, so it may be above every stored stamp
-        rows = rows_above(rows, mark, store.state(name)["last_value"])
+        rows = rows_above(rows, mark, store.state(name)["last_value"], table.overlap_seconds)
     extract = store.write(rows, name, EXTRACT, load_id, REPLACE, mark)
     if not extract.records:
         return _nothing("no_data_in_source" if current is None else "no_new_records")

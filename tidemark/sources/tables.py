@@ -78,9 +78,14 @@ def range_rows(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     return df
 
 
-def rows_above(df: DataFrame, column: str, mark: str) -> DataFrame:
-    """Rows above a mark that was recorded as text."""
-    return df.where(F.col(column) > F.lit(mark).cast(df.schema[column].dataType))
+def rows_above(
+    df: DataFrame, column: str, mark: str, overlap_seconds: int | None = None
+) -> DataFrame:
+    """Rows above a mark that was recorded as text, or above ``overlap_seconds`` before it."""
+    low = F.lit(mark).cast(df.schema[column].dataType)
+    if overlap_seconds is not None:
+        low = low - F.make_dt_interval(secs=F.lit(overlap_seconds))
+    return df.where(F.col(column) > low)
 
 
 def rows_after(source: DataFrame, target: DataFrame, column: str, overlap: Column | None = None):
