@@ -364,6 +364,36 @@ def test_status_shows_what_waits(spark, store, at):
     assert after.where("updated_at IS NOT NULL").count() == 4
 
 
+def test_rows_without_a_key_stop_a_load(spark, store, at):
+    with pytest.raises(CheckFailed, match="'id': 1"):
+        jobs.load_scd2_table(store, PEOPLE, people(spark, (None, "a", 1, 1), (1, "a", 1, 2)))
+    with pytest.raises(CheckFailed, match="'id': 1"):
+        jobs.load_static_table(store, CODES, codes(spark, (None, "a")))
+    assert store.loads().count() == 0
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, store):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "128KB")
+    try:
+        rows_ = spark.range(0, 200_000, 1, 8).select(
+            "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
+            F.when(F.col("id") % 3 == 0, F.col("id") % 20).otherwise(99).alias("day"),
+        )
+        staged = store.stage(rows_, "facts", "day", "L")
+        assert staged.records == 200_000
+        folder = store.path("facts", "staging", "load_id=L")
+        files = spark.read.parquet(folder).select("day", F.input_file_name().alias("f"))
+        per_day = dict(rows(files.groupBy("day").agg(F.count_distinct("f"))))
+    finally:
+        spark.conf.set(size, before)
+    assert per_day[99] > 4, "the partition with most rows is spread"
+    # a small one is split only if it shares a shuffle partition with the large one
+    small = [n for day, n in per_day.items() if day != 99]
+    assert sum(n == 1 for n in small) >= len(small) / 2
+
+
 def test_files_follow_the_settings(spark, tmp_path):
     import pyarrow.parquet as pq
 

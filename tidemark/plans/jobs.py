@@ -242,7 +242,9 @@ def load_scd2_table(
         # the mark is published together with the rows it speaks of; rows that brought no
         # change move it too, so it may be above every stored stamp
         rows = rows_above(rows, mark, store.state(name)["last_value"], table.overlap_seconds)
-    extract = store.write(rows, name, EXTRACT, load_id, REPLACE, mark)
+    extract = store.write(
+        rows, name, EXTRACT, load_id, REPLACE, mark, required=[*table.keys, mark]
+    )
     if not extract.records:
         return _nothing("no_data_in_source" if current is None else "no_new_records")
     batch = store.read_load(name, extract)
@@ -277,7 +279,9 @@ def backfill_scd2_table(
         raise ValueError(f"{table.table} has not been loaded yet")
     load_id = load_id or new_load_id()
     late = scd2.changed_since(only(source, table.where), table, low, high)
-    extract = store.write(late, table.table, EXTRACT, load_id, REPLACE, table.last_modified)
+    extract = store.write(
+        late, table.table, EXTRACT, load_id, REPLACE, table.last_modified, required=table.keys
+    )
     if not extract.records:
         return _nothing("no_data_in_source")
     after = scd2.backfill(store.read_load(table.table, extract), target, table)
@@ -360,7 +364,7 @@ def load_static_table(
     stored = static.with_lineage(result, load_id, content) if table.lineage else result
     written = store.write(
         stored, table.table, DATA, load_id, REPLACE,
-        content=rows.columns, algorithm=table.hash_algorithm,
+        content=rows.columns, algorithm=table.hash_algorithm, required=table.primary_keys,
     )
     if whole and written.content != content:
         raise CheckFailed(f"{table.table}: the source changed while it was copied")

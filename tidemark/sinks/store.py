@@ -132,11 +132,12 @@ class Store:
         mark: str | None = None,
         content: Sequence[str] | None = None,
         algorithm: str = "hashbytes_sha256",
+        required: Sequence[str] = (),
     ) -> Written:
         """Write the rows of one load; ``publish`` makes them visible.
 
         Counts the rows, the highest ``mark`` value and the fingerprint of the ``content``
-        columns on the way.
+        columns on the way. A null in a ``required`` column fails the load.
         """
         seen = Observation()
         watched = df
@@ -146,9 +147,14 @@ class Store:
         if content is not None:
             watched = df.withColumn("_number", row_number60(df, content, algorithm))
             metrics.append(fingerprint(F.col("_number")).alias("content"))
+        for name in required:
+            metrics.append(F.count_if(F.col(name).isNull()).alias(f"null {name}"))
         observed = watched.observe(seen, *metrics).select(*df.columns)
         self._write(observed, self.path(table, part, f"load_id={load_id}"))
         found = seen.get
+        empty = {c: found[f"null {c}"] for c in required if found[f"null {c}"]}
+        if empty:
+            raise CheckFailed(f"{table}: rows without a value in {empty}")
         return Written(
             part,
             mode,
