@@ -379,7 +379,7 @@ def test_a_large_partition_is_written_by_several_tasks(spark, store):
     try:
         rows_ = spark.range(0, 200_000, 1, 8).select(
             "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
-            F.when(F.col("id") % 3 == 0, F.col("id") % 20).otherwise(99).alias("day"),
+            F.when(F.col("id") % 100 == 0, F.col("id") / 100 % 20).otherwise(99).cast("int").alias("day"),
         )
         staged = store.stage(rows_, "facts", "day", "L")
         assert staged.records == 200_000
