@@ -220,7 +220,7 @@ WHERE l_shipdate > TIMESTAMP '1997-01-31' AND l_shipdate <= TIMESTAMP '1997-02-2
     ),
     "pending_count": Case(
         lambda spark, sf: watermark.pending_count(shipped(spark, sf), DAY, LAST),
-        with_ctes([SHIPPED], f"SELECT count_if(cobid > {LAST}) AS n_pending FROM shipped"),
+        with_ctes([SHIPPED], f"SELECT count(*) FILTER (WHERE cobid > {LAST}) AS n_pending FROM shipped"),
     ),
     "processing_range": Case(
         lambda spark, sf: watermark.processing_range(
@@ -289,7 +289,7 @@ UNION ALL SELECT {VISIBLE} FROM source WHERE month(o_orderdate) = 5""",
         ),
         with_ctes(
             [SHIPPED],
-            """SELECT count(*) AS n_rows, count_if(cobid NOT IN (19970101, 19970102, 19970103)) AS n_misaligned,
+            """SELECT count(*) AS n_rows, count(*) FILTER (WHERE cobid NOT IN (19970101, 19970102, 19970103)) AS n_misaligned,
        bool_and(cobid IN (19970101, 19970102, 19970103)) AS aligned
 FROM shipped""",
         ),
@@ -350,8 +350,8 @@ AND (source_rows <> target_rows OR source_fingerprint <> target_fingerprint)""",
   WHEN target_rows = 0 THEN 'not_in_target'
   WHEN source_rows = stored_rows AND source_rows = target_rows THEN 'complete'
   ELSE 'row_counts_differ' END AS status
-FROM (SELECT cobid, count_if(side = 1) AS source_rows, count_if(side = 2) AS stored_rows,
-             count_if(side = 3) AS target_rows
+FROM (SELECT cobid, count(*) FILTER (WHERE side = 1) AS source_rows, count(*) FILTER (WHERE side = 2) AS stored_rows,
+             count(*) FILTER (WHERE side = 3) AS target_rows
       FROM (SELECT cobid, 1 AS side FROM source UNION ALL SELECT cobid, 2 FROM stored
             UNION ALL SELECT cobid, 3 FROM target) GROUP BY cobid)""",
         ),

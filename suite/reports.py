@@ -101,7 +101,7 @@ COUNTED = """counted AS (
   UNION ALL
   SELECT 'parts', 'duplicate_key', 'p_partkey',
          (SELECT count(*) FROM (SELECT 1 FROM part GROUP BY p_partkey HAVING count(*) > 1))
-  UNION ALL SELECT 'orders', 'null_key', 'cobid', (SELECT count_if(o_orderdate IS NULL) FROM orders))"""
+  UNION ALL SELECT 'orders', 'null_key', 'cobid', (SELECT count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders))"""
 
 CASES: dict[str, Case] = {
     "run_summary": Case(
@@ -110,21 +110,21 @@ CASES: dict[str, Case] = {
             [LOG],
             """SELECT *, CAST(total_records AS DOUBLE) / greatest(total_duration, 0.001) AS records_per_second,
   total_duration / tables_processed AS average_duration, failed_tables = 0 AS all_successful
-FROM (SELECT run_id, count(*) AS tables_processed, count_if(success) AS successful_tables,
-        count_if(NOT success) AS failed_tables, CAST(sum(total_records) AS BIGINT) AS total_records,
+FROM (SELECT run_id, count(*) AS tables_processed, count(*) FILTER (WHERE success) AS successful_tables,
+        count(*) FILTER (WHERE NOT success) AS failed_tables, CAST(sum(total_records) AS BIGINT) AS total_records,
         CAST(sum(duration_seconds) AS DOUBLE) AS total_duration,
-        count_if(table_type = 'partition') AS partition_tables, count_if(table_type = 'scd') AS scd_tables,
-        count_if(table_type = 'static') AS static_tables FROM run_log GROUP BY run_id)""",
+        count(*) FILTER (WHERE table_type = 'partition') AS partition_tables, count(*) FILTER (WHERE table_type = 'scd') AS scd_tables,
+        count(*) FILTER (WHERE table_type = 'static') AS static_tables FROM run_log GROUP BY run_id)""",
         ),
     ),
     "load_metrics": Case(
         lambda spark, sf: report.load_metrics(run_log(spark, sf)),
         with_ctes(
             [LOG],
-            """SELECT table_name, count(*) AS n_runs, count_if(success) AS n_success,
+            """SELECT table_name, count(*) AS n_runs, count(*) FILTER (WHERE success) AS n_success,
   max(CASE WHEN success THEN finished_at END) AS last_success,
-  CAST(count_if(success) AS DOUBLE) / count(*) AS success_rate,
-  CAST(sum(CASE WHEN success THEN duration_seconds END) AS DOUBLE) / nullif(count_if(success), 0) AS mean_duration
+  CAST(count(*) FILTER (WHERE success) AS DOUBLE) / count(*) AS success_rate,
+  CAST(sum(CASE WHEN success THEN duration_seconds END) AS DOUBLE) / nullif(count(*) FILTER (WHERE success), 0) AS mean_duration
 FROM run_log GROUP BY table_name""",
         ),
     ),
@@ -138,8 +138,8 @@ FROM run_log GROUP BY table_name""",
   QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY finished_at DESC, duration_seconds DESC) = 1)""",
                 """facts AS (
   SELECT l.table_name, n.last_success, n.last_seconds,
-         count_if(NOT success AND (n.last_success IS NULL OR finished_at > n.last_success)) AS failures,
-         count_if(success) AS n_good, sum(CASE WHEN success THEN duration_seconds END) AS seconds
+         count(*) FILTER (WHERE NOT success AND (n.last_success IS NULL OR finished_at > n.last_success)) AS failures,
+         count(*) FILTER (WHERE success) AS n_good, sum(CASE WHEN success THEN duration_seconds END) AS seconds
   FROM run_log l LEFT JOIN newest n ON n.table_name = l.table_name
   GROUP BY l.table_name, n.last_success, n.last_seconds)""",
             ],
@@ -185,7 +185,7 @@ LEFT JOIN (SELECT o_orderstatus AS table_name, max(o_orderdate) AS target_high F
         lambda spark, sf: quality.validation_summary(checked_tables(spark, sf)),
         with_ctes(
             [*DAMAGED, COUNTED],
-            """SELECT count(*) AS total_tables, count_if(valid) AS valid_tables, count_if(NOT valid) AS invalid_tables
+            """SELECT count(*) AS total_tables, count(*) FILTER (WHERE valid) AS valid_tables, count(*) FILTER (WHERE NOT valid) AS invalid_tables
 FROM (SELECT max(n) = 0 AS valid FROM counted GROUP BY table_name)""",
         ),
     ),

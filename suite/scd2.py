@@ -423,8 +423,8 @@ FROM paired WHERE next_start IS NOT NULL AND valid_to IS DISTINCT FROM next_star
         ),
         with_ctes(
             [CHANGES],
-            """SELECT 'customer' AS column_name, count_if(customer IS NULL) AS n_nulls FROM changes
-UNION ALL SELECT 'channel', count_if(nullif(channel, '5-LOW') IS NULL) FROM changes""",
+            """SELECT 'customer' AS column_name, count(*) FILTER (WHERE customer IS NULL) AS n_nulls FROM changes
+UNION ALL SELECT 'channel', count(*) FILTER (WHERE nullif(channel, '5-LOW') IS NULL) FROM changes""",
         ),
     ),
     "scd2_missing_changes": Case(

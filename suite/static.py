@@ -291,9 +291,9 @@ FROM (SELECT (SELECT count(*) FROM parts) AS source_rows, (SELECT count(*) FROM
             .withColumn("p_size", F.nullif("p_size", F.lit(1))),
             ["p_partkey", "p_brand", "p_size"],
         ),
-        """SELECT 'p_partkey' AS column_name, count_if(p_partkey IS NULL) AS n_nulls FROM part
-UNION ALL SELECT 'p_brand', count_if(nullif(p_brand, 'Brand#7') IS NULL) FROM part
-UNION ALL SELECT 'p_size', count_if(nullif(p_size, 1) IS NULL) FROM part""",
+        """SELECT 'p_partkey' AS column_name, count(*) FILTER (WHERE p_partkey IS NULL) AS n_nulls FROM part
+UNION ALL SELECT 'p_brand', count(*) FILTER (WHERE nullif(p_brand, 'Brand#7') IS NULL) FROM part
+UNION ALL SELECT 'p_size', count(*) FILTER (WHERE nullif(p_size, 1) IS NULL) FROM part""",
     ),
     "pk_duplicate_count": Case(
         lambda spark, sf: quality.duplicate_key_count(

@@ -136,7 +136,7 @@ CASES: dict[str, Case] = {
         " UNION ALL ".join(
             f"""SELECT '{c}' AS column_name, {n} AS ordinal, '{t}' AS data_type,
   CAST(NULL AS INTEGER) AS precision, CAST(NULL AS INTEGER) AS scale,
-  count(*) AS n_rows, count_if({c} IS NULL) AS n_nulls FROM lineitem"""
+  count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls FROM lineitem"""
             for n, (c, t) in enumerate(LINEITEM_TYPES, start=1)
         ),
     ),
@@ -197,11 +197,11 @@ FROM lineitem WHERE l_discount <> round(l_discount, 1)""",
         lambda spark, sf: decimals.decimal_compare(compared(spark, sf)),
         with_ctes(
             COMPARED,
-            """SELECT count(*) AS total, count_if(outcome = 'match') AS n_match,
-  count_if(outcome = 'mismatch') AS n_mismatch, count_if(outcome = 'all_null') AS n_all_null,
-  count_if(outcome = 'null_mismatch') AS n_null_mismatch, count_if(outcome = 'missing') AS n_missing,
-  count_if(outcome = 'duplicate') AS n_duplicate,
-  CAST(count_if(outcome IN ('match', 'all_null')) AS DOUBLE) / count(*) AS match_rate FROM compared""",
+            """SELECT count(*) AS total, count(*) FILTER (WHERE outcome = 'match') AS n_match,
+  count(*) FILTER (WHERE outcome = 'mismatch') AS n_mismatch, count(*) FILTER (WHERE outcome = 'all_null') AS n_all_null,
+  count(*) FILTER (WHERE outcome = 'null_mismatch') AS n_null_mismatch, count(*) FILTER (WHERE outcome = 'missing') AS n_missing,
+  count(*) FILTER (WHERE outcome = 'duplicate') AS n_duplicate,
+  CAST(count(*) FILTER (WHERE outcome IN ('match', 'all_null')) AS DOUBLE) / count(*) AS match_rate FROM compared""",
         ),
     ),
     "decimal_mismatch_rows": Case(
@@ -214,7 +214,7 @@ FROM lineitem WHERE l_discount <> round(l_discount, 1)""",
         lambda spark, sf: decimals.decimal_stats(totals(spark, sf), "total"),
         with_ctes(
             COMPARED[:1],
-            """SELECT 'total' AS column_name, count(*) AS row_count, count_if(total IS NULL) AS null_count,
+            """SELECT 'total' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE total IS NULL) AS null_count,
   count(total) AS non_null_count, CAST(min(total) AS VARCHAR) AS min_value, CAST(max(total) AS VARCHAR) AS max_value,
   18 AS precision, 2 AS scale,
   (SELECT string_agg(CAST(total AS VARCHAR), ', ' ORDER BY total)
@@ -234,7 +234,7 @@ FROM lineitem WHERE NOT ({BAD_PRICE} OR {BAD_DISCOUNT})""",
     ),
     "error_rate": Case(
         lambda spark, sf: schema.error_rate(as_text(spark, sf), PRICE),
-        f"""SELECT count(*) AS n_rows, count_if({BAD_PRICE} OR {BAD_DISCOUNT}) AS n_bad,
-  CAST(count_if({BAD_PRICE} OR {BAD_DISCOUNT}) AS DOUBLE) / count(*) AS error_rate FROM lineitem""",
+        f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE {BAD_PRICE} OR {BAD_DISCOUNT}) AS n_bad,
+  CAST(count(*) FILTER (WHERE {BAD_PRICE} OR {BAD_DISCOUNT}) AS DOUBLE) / count(*) AS error_rate FROM lineitem""",
     ),
 }

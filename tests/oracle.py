@@ -21,6 +21,18 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Spark types and the SQL types they have to come back as
+TYPES = {
+    "smallint": "SMALLINT",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _value(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else float(f"{value:.9g}")
@@ -48,6 +60,11 @@ def difference(df, connection, sql) -> str | None:
     want_columns, want_rows = sql_result(connection, sql)
     if columns != want_columns:
         return f"columns {columns} != {want_columns}"
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    want_types = {name: str(kind) for name, kind, *_ in described}
+    types = {f.name: TYPES.get(f.dataType.simpleString(), "?") for f in df.schema}
+    if types != want_types:
+        return f"types {types} != {want_types}"
     if len(rows) != len(want_rows):
         return f"{len(rows)} rows != {len(want_rows)}"
     for row, want in zip(rows, want_rows, strict=True):
