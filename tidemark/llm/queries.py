@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, language, quality, simhash, substrings, warc
+from tidemark.llm import bpe, decontaminate, embeddings, html, language, quality, simhash, substrings, urls, warc
 from tidemark.llm.common import bucket, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -50,6 +50,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = written(quality.measure(table(spark, sf_dir, "documents")), "statistics")
     fold = bucket(F.col("doc_id"), 5)
@@ -65,6 +69,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,8 +85,11 @@ QUERIES = {
         op3_language_id,
         op4_bpe,
         op5_substring_dedup,
+        op6_embedding_dedup,
         op7_quality,
         op8_simhash,
+        op9_html_extraction,
+        op10_url_filters,
     )
 }
-SQL = {"op2_decontamination": decontaminate.SQL}
+SQL = {"op2_decontamination": decontaminate.SQL, "op6_embedding_dedup": embeddings.SQL}
