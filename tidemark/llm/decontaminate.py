@@ -100,36 +100,38 @@ def blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
 def windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """Every item-sized window of a document that shares a shingle with the item.
 
-    A window without a common shingle has similarity zero, so none is lost. Around each
-    shared shingle the windows that hold it and no earlier shared one are cut out.
+    A window without a common shingle has similarity zero, so none is lost. The shared
+    shingles are found on narrow rows; only documents that have some are cut to windows.
     """
-    items = items.where(F.col("size") == size).select(
-        "item_id", F.array_distinct("item").alias("known"), F.size("item").alias("length"), F.explode(F.array_distinct("item")).alias("digest")
+    items = items.where(F.col("size") == size).select("item_id", F.array_distinct("item").alias("known"), F.size("item").alias("length"))
+    items = items.select("item_id", "length", F.explode("known").alias("digest"))
+    docs = docs.select("doc_id", "part", shingles_of(words_of(F.col("text")), size).alias("all"), "text")
+    placed = docs.select("doc_id", "part", F.posexplode("all").alias("at", "digest"))
+    met = (
+        placed.join(small(items, BROADCAST_ROWS), "digest")
+        .groupBy("doc_id", "part", "item_id", "length")
+        .agg(F.collect_set("at").alias("places"))
     )
-    rows = docs.select("doc_id", "part", shingles_of(words_of(F.col("text")), size).alias("all"))
-    placed = rows.select("doc_id", "part", "all", F.posexplode("all").alias("at", "digest"))
-    met = placed.join(small(items, BROADCAST_ROWS), "digest")
-    # the shingles before this one that a window may also hold; the last known one ends them
-    before = F.slice("all", F.greatest(F.col("at") - F.col("length") + 2, F.lit(1)), F.least(F.col("length") - 1, F.col("at")))
-    last = F.array_max(
-        F.transform(F.col("before"), lambda x, i: F.when(F.array_contains(F.col("known"), x), i))
-    )
-    met = met.select("doc_id", "part", "item_id", "length", "at", "all", "known", before.alias("before"))
-    low = F.col("at") - F.size("before") + F.coalesce(last + 1, F.lit(0))
-    high = F.least(F.col("at"), F.size("all") - F.col("length"))
+    met = written(met, "places")
+    texts = docs.select("doc_id", "part", "text")
+    length = F.col("length")
+
+    def cut(all_: Column) -> Column:
+        ends = F.size(all_) - length
+        around = F.transform(
+            F.filter("places", lambda p: p - length + 1 <= ends),
+            lambda p: F.sequence(F.greatest(p - length + 1, F.lit(0)), F.least(p, ends)),
+        )
+        starts = F.when(ends >= 0, F.array_distinct(F.flatten(around))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(all_, s + 1, length).alias("window")))
+
     return (
-        met.select("doc_id", "part", "item_id", "length", "all", low.alias("low"), high.alias("high"))
-        .where("low <= high")
+        texts.join(met, ["doc_id", "part"])
         .select(
             "doc_id",
             "part",
             "item_id",
-            F.explode(
-                F.transform(
-                    F.sequence("low", "high"),
-                    lambda s: F.struct(s.alias("start"), F.slice("all", s + 1, F.col("length")).alias("window")),
-                )
-            ).alias("found"),
+            F.explode(bound(shingles_of(words_of(F.col("text")), size), cut)).alias("found"),
         )
         .select("doc_id", "part", "item_id", "found.start", "found.window")
     )
@@ -173,7 +175,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     cut = windows(docs, items, sizes[0])
     for size in sizes[1:]:
         cut = cut.union(windows(docs, items, size))
-    cut = written(cut.distinct(), "windows")
+    cut = written(cut, "windows")
     keys = ["item_id", "window"]
     # equal windows, as copies of a passage make them, are judged once
     kinds = cut.select(*keys).distinct()
