@@ -105,10 +105,9 @@ class Parsed:
         stem_ends = np.minimum.accumulate(stem_ends[::-1])[::-1]
         low = np.searchsorted(self.starts, self.valid + GUARD)
         high = np.searchsorted(stem_ends, self.valid + WINDOW - GUARD, side="right")
-        high = np.maximum(high, low + 1)  # not reached: two symbols always fit
-        span = high - low
+        span = np.maximum(high - low, 0)  # none where a long run fills the window
         tables, size = [stem], 1
-        while 2 * size <= span.max():
+        while 2 * size <= span.max(initial=0):
             tables.append(np.minimum(tables[-1][:-size], tables[-1][size:]))
             size *= 2
         keys = np.full(self.valid.size, _NONE)
@@ -144,7 +143,7 @@ class Parsed:
         change[1:] = (self.keys[1:] != self.keys[:-1]) | (doc[1:] != doc[:-1])
         docs = np.concatenate([doc[change], *(self.doc[s] for _, s, _ in self.runs)])
         keys = np.concatenate([self.keys[change], *(k for k, _, _ in self.runs)])
-        enough = self.sizes[docs] >= WINDOW
+        enough = (self.sizes[docs] >= WINDOW) & (keys != _NONE)
         both = np.unique(np.rec.fromarrays([docs[enough], keys[enough]], names="doc,key"))
         return both["doc"], both["key"]
 
