@@ -20,6 +20,8 @@ WIDTH = 16
 SAMPLE_ROWS = 600
 SAMPLE_CHARS = 20_000
 EPOCHS = 6
+#: Small samples are gone over more often, up to this many steps.
+STEPS = 6000
 RATE = 2.0
 #: Share of the right answers on calibration rows that a rejection may cost; the threshold
 #: is at most one half, which rejects only what no language has a majority for.
@@ -83,8 +85,9 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model:
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     weights = np.zeros((WIDTH, len(names)), np.float32)
     bias = np.zeros(len(names), np.float32)
-    done, steps = 0, max(1, EPOCHS * len(train))
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, STEPS // max(1, len(train)))
+    done, steps = 0, max(1, epochs * len(train))
+    for _ in range(epochs):
         for i in rng.permutation(train):
             (units, share), y = rows[i]
             rate = RATE * (1 - done / steps)

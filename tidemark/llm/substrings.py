@@ -127,14 +127,14 @@ class Parsed:
         return out[0], out[1]
 
     def window_digests(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of the WINDOW words from each position."""
+        """96 bits of the WINDOW words from each position: a long and an int."""
         out = []
         for which in (0, 1):
             powers, inverse = self._powers(self.words.size, which)
             terms = mix(self.words + _SEEDS[which]) * powers
             sums = np.concatenate([[np.uint64(0)], np.cumsum(terms)])
             out.append(mix((sums[at + WINDOW] - sums[at]) * inverse[at]))
-        return out[0], out[1]
+        return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def all_keys(self) -> tuple[np.ndarray, np.ndarray]:
         """Document (its place) and key, each pair once."""
@@ -211,8 +211,8 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         high, low = parsed.window_digests(at)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(high.view(np.int64)),
-                pa.array(low.view(np.int64)),
+                pa.array(high),
+                pa.array(low),
                 pa.array(np.array(ids, np.int64)[doc]),
                 pa.array(np.array(prints, np.int64)[doc]),
                 pa.array((at - parsed.first[doc]).astype(np.int32)),
@@ -280,11 +280,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     windows = (
         base.join(marks, ["doc_id", "print"])
         .select("doc_id", "text", "print", "shared")
-        .mapInArrow(_windows, "high long, low long, doc_id long, print long, start int")
+        .mapInArrow(_windows, "high long, low int, doc_id long, print long, start int")
     )
-    least = windows.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    least = windows.groupBy("high", "low").agg(F.min("doc_id").alias("least"))
     found = (
-        windows.join(least.where("least < most"), ["high", "low"])
+        windows.join(least, ["high", "low"])
         .where("doc_id > least")
         .groupBy("doc_id", "print")
         .agg(F.collect_set("start").alias("starts"))

@@ -118,8 +118,12 @@ def split_urls(pages: DataFrame) -> DataFrame:
 
 
 def fit_words(urls: DataFrame) -> Words:
-    """Unigram counts of the parts of all hosts and paths; the seeds are words too."""
-    parts = F.regexp_extract_all(F.lower(F.concat_ws("/", "host", "path")), F.lit("\\p{L}+"), F.lit(0))
+    """Unigram counts of what is known to be words: parts of paths, and of host labels that
+    hyphens or digits cut. A label in one piece may be several words and is not counted.
+    The seeds are words too."""
+    cut = F.filter(F.split("host", "\\."), lambda label: label.rlike("[-0-9]"))
+    named = F.lower(F.concat_ws("/", F.array_join(cut, "/"), "path"))
+    parts = F.regexp_extract_all(named, F.lit("\\p{L}+"), F.lit(0))
     counts = urls.select(F.explode(parts).alias("word")).where(F.length("word") <= LONGEST).groupBy("word").count()
     top = counts.orderBy(F.desc("count"), "word").limit(VOCABULARY).collect()
     total = sum(r["count"] for r in top) + len(SEEDS)
