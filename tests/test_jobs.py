@@ -433,3 +433,52 @@ def test_typed_read_of_a_table(spark):
 
     wanted = spark_schema({"id": {"data_type": "int"}, "day": {"data_type": "date"}})
     assert schema.typed(df, wanted).schema.simpleString() == "struct<id:int,day:date>"
+
+
+def test_the_same_id_twice_changes_nothing(spark, store, at):
+    def twice(load, table, first, second):
+        one = load(store, table, first, load_id="r1", now=at(0))
+        assert load(store, table, second, load_id="r1", now=at(1))[0] == one[0]
+
+    twice(jobs.load_append_table, LOG, spark.range(3).toDF("n"), spark.range(5).toDF("n"))
+    assert store.read("log", "data").count() == 3
+    twice(jobs.load_partition_table, FACTS, facts(spark, 1), facts(spark, 1, 2))
+    assert store.partitions("facts").count() == 3
+    twice(jobs.load_static_table, CODES, codes(spark, (1, "a")), codes(spark, (1, "b")))
+    assert rows(store.read("codes", "data"), "id", "name") == [(1, "a")]
+    twice(jobs.load_scd2_table, PEOPLE, people(spark, *DAY1), people(spark, *DAY1))
+    before = jobs.versioned_rows(store, PEOPLE).count()
+    assert before == store.read("people", jobs.CURRENT).count()
+    # a new id goes on from there
+    assert jobs.load_append_table(store, LOG, spark.range(5).toDF("n"), load_id="r2", now=at(2)) == (
+        "incremental_update",
+        2,
+    )
+
+
+def test_two_streams_into_one_table(spark, store, tmp_path):
+    for name, low in (("one", 0), ("two", 10)):
+        folder = str(tmp_path / name)
+        spark.range(low, low + 3).toDF("n").write.parquet(folder)
+        schema_of = spark.read.parquet(folder).schema
+        assert append_new_files(spark, store, LOG, folder, schema_of, str(tmp_path / f"check-{name}")) == 3
+    assert sorted(r[0] for r in store.read("log", "data").collect()) == [0, 1, 2, 10, 11, 12]
+
+
+def test_changes_with_a_null_key_are_merged(spark):
+    from tidemark.operators import static
+
+    source = spark.createDataFrame([(None, "a"), (1, "b")], "id int, name string")
+    target = spark.createDataFrame([(1, "c")], "id int, name string")
+    got = static.merge_changes(source, target, ["id"])
+    assert {(r["id"], r["action"]) for r in got.collect()} == {(None, static.INSERT), (1, static.UPDATE)}
+
+
+def test_what_was_not_looked_at_is_unknown(spark):
+    from tidemark.operators import report
+
+    states = spark.createDataFrame([("t",)], "table_name string")
+    pending = spark.createDataFrame([], "table_name string, n_pending bigint")
+    prints = spark.createDataFrame([], "table_name string, stored_fingerprint string, target_fingerprint string")
+    row = report.pipeline_status(states, pending, prints).first()
+    assert (row["n_pending"], row["consistency"]) == (None, "unknown")

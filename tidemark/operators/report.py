@@ -125,15 +125,19 @@ def pipeline_status(states: DataFrame, pending: DataFrame, consistency: DataFram
 
     ``states`` is the newest state row per table (``table_name, last_value, updated_at,
     records``); ``pending`` has ``table_name, n_pending``; ``consistency`` has
-    ``table_name, stored_fingerprint, target_fingerprint``.
+    ``table_name, stored_fingerprint, target_fingerprint``. A table without a pending row
+    has a null count, and one without fingerprints is "unknown": neither was looked at.
     """
-    agree = F.col("stored_fingerprint").eqNullSafe(F.col("target_fingerprint"))
+    stored, target = F.col("stored_fingerprint"), F.col("target_fingerprint")
     return (
         states.join(pending, "table_name", "left")
         .join(consistency, "table_name", "left")
         .select(
             *states.columns,
-            F.coalesce("n_pending", F.lit(0).cast("bigint")).alias("n_pending"),
-            F.when(agree, "consistent").otherwise("inconsistent").alias("consistency"),
+            "n_pending",
+            F.when(stored.isNull() & target.isNull(), "unknown")
+            .when(stored.eqNullSafe(target), "consistent")
+            .otherwise("inconsistent")
+            .alias("consistency"),
         )
     )

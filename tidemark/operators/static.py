@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.canonical import fingerprint, row_digest, row_number60, table_fingerprint
+from tidemark.operators.ordered import join_null_safe
 
 INSERT, UPDATE, DELETE, SAME = "insert", "update", "delete", "unchanged"
 
@@ -79,11 +80,11 @@ def merge_changes(
     """
     actions = table_diff(source, target, keys).select(*keys, "action")
     names = list(keys)
-    written = source.join(actions.where(F.col("action").isin(INSERT, UPDATE)), names)
+    written = join_null_safe(source, actions.where(F.col("action").isin(INSERT, UPDATE)), names, "inner")
     out = written.select(*source.columns, "action")
     if not allow_deletes:
         return out
-    gone = target.join(actions.where(F.col("action") == DELETE), names)
+    gone = join_null_safe(target, actions.where(F.col("action") == DELETE), names, "inner")
     return out.unionByName(gone.select(*source.columns, "action"))
 
 

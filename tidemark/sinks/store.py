@@ -91,6 +91,19 @@ class Store:
         newest = self.loads(table).orderBy(F.desc("updated_at"), F.desc("load_id"), "part")
         return newest.limit(1).first()
 
+    def published(self, table: str, load_id: str) -> tuple[str, int] | None:
+        """Reason and rows of a published load; None if no such load is published."""
+        rows = self.loads(table).where(F.col("load_id") == load_id)
+        found = rows.agg(F.min("reason").alias("reason"), F.sum("records").alias("records")).first()
+        return None if found["records"] is None else (found["reason"] or "", found["records"])
+
+    def _refuse_published(self, table: str, load_id: str) -> None:
+        """Folders of a published load are never written again."""
+        log = self._read_if_there(self.path("_loads"), T.StructType.fromDDL(LOADS))
+        same = (F.col("table_name") == table) & (F.col("load_id") == load_id)
+        if log is not None and not log.where(same).isEmpty():
+            raise CheckFailed(f"{table}: load {load_id} is published already")
+
     def publish(
         self,
         table: str,
@@ -139,6 +152,7 @@ class Store:
         Counts the rows, the highest ``mark`` value and the fingerprint of the ``content``
         columns on the way. A null in a ``required`` column fails the load.
         """
+        self._refuse_published(table, load_id)
         seen = Observation()
         watched = df
         metrics = [F.count(F.lit(1)).alias("records")]
@@ -199,6 +213,7 @@ class Store:
 
     def stage(self, df: DataFrame, table: str, column: str, load_id: str) -> Written:
         """Write partitions aside. Large ones are spread over several tasks and files."""
+        self._refuse_published(table, load_id)
         ordered = df.select(*[c for c in df.columns if c != column], column)
         seen = Observation()
         observed = ordered.observe(

@@ -1,7 +1,8 @@
 """Incremental append as a stream: only files not seen before, each exactly once.
 
-Spark's checkpoint remembers the files. A batch that is run again after a failure writes
-the same folder and is published under the same load id, so it counts once.
+Spark's checkpoint remembers the files and the id of the query. A load is named by this id
+and the batch's number: a batch that is run again after a failure is the same load and
+counts once, and a stream with another checkpoint never meets the loads of this one.
 """
 
 from __future__ import annotations
@@ -37,9 +38,14 @@ def append_new_files(
     taken = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        written = store.write(
-            batch, table.table, DATA, f"stream-{batch_id:012d}", APPEND, table.watermark_column
-        )
+        # set by Spark in the thread of the stream; the same for one checkpoint
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the id of the streaming query is not known")
+        load_id = f"stream-{query_id}-{batch_id:012d}"
+        if store.published(table.table, load_id) is not None:
+            return
+        written = store.write(batch, table.table, DATA, load_id, APPEND, table.watermark_column)
         store.publish(table.table, table.kind, [written], utc_now(), "stream")
         taken.append(written.records)
 
