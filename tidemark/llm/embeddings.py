@@ -26,8 +26,8 @@ LEAF = 512
 #: on a unit direction times the root of the dimension. Linked vectors differ by a distance
 #: of 0.374 at most, thus by 0.374 times a standard normal number here.
 SPILL = 0.3
-#: Splits of one leaf after which it stays as it is: what is left is one dense group.
-DEPTH = 40
+#: Levels of a tree. A leaf of the last level may be of any size; so may a dense group.
+DEPTH = 32
 #: Members of a leaf that one task compares with as many others.
 CHUNK = 1024
 
@@ -46,83 +46,68 @@ def unit(vector: list[float | None] | None) -> np.ndarray | None:
     return values / np.sqrt((values**2).sum())
 
 
-def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def directions(seed: int, size: int) -> np.ndarray:
+    """The direction of each level of each tree; all cuts of a level share it."""
+    values = np.random.default_rng([seed, size]).standard_normal((TREES * DEPTH, size))
+    return values * np.sqrt(size) / np.sqrt((values**2).sum(axis=1, keepdims=True))
+
+
+def _units(batches: Iterable[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """Usable vectors, of unit length, with their projections."""
+    drawn: dict[int, np.ndarray] = {}
     for batch in batches:
         ids, labels, vectors = (c.to_pylist() for c in batch.columns)
         rows = [(i, x, u) for i, x, v in zip(ids, labels, vectors, strict=True) if (u := unit(v)) is not None]
+        along = []
+        for _, _, u in rows:
+            if u.size not in drawn:
+                drawn[u.size] = directions(seed, u.size)
+            along.append((drawn[u.size] @ u).tolist())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([i for i, _, _ in rows], pa.int64()),
-                pa.array([str(x) for _, x, _ in rows], pa.string()),
+                pa.array([x for _, x, _ in rows], pa.string()),
                 pa.array([u.tobytes() for _, _, u in rows], pa.binary()),
+                pa.array(along, pa.list_(pa.float32())),
             ],
-            ["vec_id", "label", "unit"],
+            ["vec_id", "label", "unit", "along"],
         )
 
 
-def direction(seed: int, tree: int, node: int, size: int) -> np.ndarray:
-    """The direction at which a node of a tree is cut."""
-    values = np.random.default_rng([seed, tree, node & (2**63 - 1), size]).standard_normal(size)
-    return values * np.sqrt(size) / np.sqrt((values**2).sum())
-
-
-def _projected(batches: Iterable[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
-    """Rows (tree, label, node, vec, unit) with their projection for the node's cut."""
-    cache: dict[tuple[int, int, int], np.ndarray] = {}
-    for batch in batches:
-        values = []
-        for tree, node, data in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
-            vector = np.frombuffer(data)
-            key = (tree, node, vector.size)
-            if key not in cache:
-                if len(cache) > 4096:
-                    cache.clear()
-                cache[key] = direction(seed, tree, node, vector.size)
-            values.append(float(vector @ cache[key]))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, "along"])
-
-
-def grow(classes: DataFrame, seed: int, leaf: int) -> DataFrame:
-    """tree, label, node, vec, unit: the leaves, a row for each leaf a vector is in.
+def grow(classes: DataFrame, leaf: int) -> DataFrame:
+    """tree, label, node, vec: the leaves, a row for each leaf a vector is in.
 
     Every round cuts the nodes above `leaf` members at their median, found by one
     aggregation over all members; the medians stay in Spark. Nodes that a cut does not make
     smaller stay as they are.
     """
-    rows = classes.select(
-        F.explode(F.array(*[F.lit(t) for t in range(TREES)])).alias("tree"),
-        "label",
-        F.lit(1).cast("long").alias("node"),
-        F.col("vec_id").alias("vec"),
-        "unit",
+    trees = [F.struct(F.lit(t).alias("tree"), F.slice("along", t * DEPTH + 1, DEPTH).alias("along")) for t in range(TREES)]
+    rows = classes.select("label", F.col("vec_id").alias("vec"), F.explode(F.array(*trees)).alias("of"))
+    current = written(
+        rows.select("of.tree", "label", F.lit(1).cast("long").alias("node"), "vec", "of.along"), "nodes"
     )
-    current, done = written(rows, "nodes"), None
-    keys = ["tree", "label", "node"]
-    for _ in range(DEPTH):
+    keys, leaves = ["tree", "label", "node"], ["tree", "label", "node", "vec"]
+    done = current.select(*leaves).limit(0)
+    for level in range(DEPTH):
         sizes = current.groupBy(*keys).agg(F.count("*").alias("n"))
         large = written(sizes.where(F.col("n") > leaf), "sizes")
+        done = done.union(current.join(large, keys, "left_anti").select(*leaves))
         if large.isEmpty():
-            break
-        ready = current.join(large.select(*keys), keys, "left_anti").select(*current.columns)
-        done = written(ready, "leaves") if done is None else done.union(written(ready, "leaves"))
-        schema = "tree int, label string, node long, vec long, unit binary, along double"
-        split = written(
-            current.join(large.select(*keys), keys).select(*current.columns).mapInArrow(partial(_projected, seed=seed), schema),
-            "splits",
-        )
-        cuts = split.groupBy(*keys).agg(F.percentile_approx("along", 0.5, 1000).alias("cut"), F.count("*").alias("n"))
-        low = F.when(F.col("along") <= F.col("cut") + SPILL, F.col("node") * 2)
-        high = F.when(F.col("along") > F.col("cut") - SPILL, F.col("node") * 2 + 1)
-        sides = split.join(cuts, keys).withColumn("child", F.explode(F.array_compact(F.array(low, high))))
+            return done
+        split = current.join(large, keys).withColumn("at", F.get("along", F.lit(level)))
+        cuts = split.groupBy(*keys).agg(F.percentile_approx("at", 0.5, 1000).alias("cut"))
+        low = F.when(F.col("at") <= F.col("cut") + SPILL, F.col("node") * 2)
+        high = F.when(F.col("at") > F.col("cut") - SPILL, F.col("node") * 2 + 1)
+        sides = split.join(written(cuts, "cuts"), keys).withColumn("child", F.explode(F.array_compact(F.array(low, high))))
         # a node whose larger side keeps nine tenths is one dense group: splitting ends
         grown = sides.groupBy(*keys, "child").agg(F.count("*").alias("m"), F.max("n").alias("n"))
         dense = written(grown.where(F.col("m") > 0.9 * F.col("n")).select(*keys).distinct(), "dense")
-        done = done.union(split.join(dense, keys).select(*current.columns))
+        done = done.union(current.join(dense, keys).select(*leaves))
         current = written(
-            sides.join(dense, keys, "left_anti").select("tree", "label", F.col("child").alias("node"), "vec", "unit"),
+            sides.join(dense, keys, "left_anti").select("tree", "label", F.col("child").alias("node"), "vec", "along"),
             "nodes",
         )
-    return current if done is None else done.union(current)
+    return done.union(current.select(*leaves))
 
 
 def joined(matrix: np.ndarray) -> np.ndarray:
@@ -198,12 +183,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF
     usable = rows.where("vec_id is not null and label is not null").select(
         "vec_id", F.concat(size, F.lit(":"), "label").alias("label"), "embedding"
     )
-    units = written(usable.mapInArrow(_units, "vec_id long, label string, unit binary").distinct(), "units")
-    classes = units.groupBy("label", "unit").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("many"))
+    units = written(
+        usable.distinct().mapInArrow(partial(_units, seed=seed), "vec_id long, label string, unit binary, along array<float>"),
+        "units",
+    )
+    classes = units.groupBy("label", "unit").agg(
+        F.min("vec_id").alias("vec_id"), F.count("*").alias("many"), F.first("along").alias("along")
+    )
     classes = written(classes, "classes")
-    leaves = written(grow(classes, seed, leaf), "leaves")
+    leaves = written(grow(classes, leaf), "leaves")
     paths = leaves.groupBy(F.col("vec").alias("vec_id")).agg(F.collect_list(F.struct("tree", "node")).alias("paths"))
-    known = classes.select("vec_id", "many").join(paths, "vec_id")
+    known = classes.select("vec_id", "many", "unit").join(paths, "vec_id")
     keys = ["tree", "label", "node"]
     chunks = leaves.groupBy(*keys).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     dealt = (
@@ -231,7 +221,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF
     )
     counts = found.groupBy("vec").agg(F.sum("links").alias("links"))
     # a vec_id with several different vectors holds their classes together
-    first = units.join(classes.withColumnRenamed("vec_id", "first"), ["label", "unit"]).select("vec_id", "first", "many")
+    first = units.select("vec_id", "label", "unit").join(
+        classes.select("label", "unit", "many", F.col("vec_id").alias("first")), ["label", "unit"]
+    ).select("vec_id", "first", "many")
     first = written(first, "members")
     links = found.select("vec", "reaches").union(first.where("vec_id <> first").select("vec_id", "first"))
     reached = components(links)
