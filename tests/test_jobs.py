@@ -206,14 +206,66 @@ def test_append_mode_and_repair(spark, store, at):
     jobs.load_scd2_table(store, table, people(spark, *DAY1), now=at(0))
     twice = people(spark, *DAY1, (2, "p", 40, 7), (2, "q", 50, 8))
     jobs.load_scd2_table(store, table, twice, now=at(1))
-    assert jobs.repair_scd2_table(store, table) == (1, 1)
-    assert jobs.repair_scd2_table(store, table, dry_run=False, now=at(2)) == (1, 1)
+    assert jobs.repair_scd2_table(store, table) == (2, 2)
+    assert jobs.repair_scd2_table(store, table, dry_run=False, now=at(2)) == (2, 2)
     versions = jobs.versioned_rows(store, table)
     assert rows(versions.where("id = 2 AND is_latest"), "name") == [("q",)]
-    assert versions.count() == 4
+    assert versions.count() == 5
     assert jobs.repair_scd2_table(store, table) == (0, 0)
 
 
+def test_first_load_of_append_mode_keeps_every_row(spark, store, at):
+    table = Scd2Table(
+        "people", ("id",), "modified", "is_latest", "starts", "ends",
+        tracked=("name",), tie_break=("seq",), mode="append",
+    )
+    source = people(spark, (1, "a", 1, 1), (1, "b", 2, 2), (1, "b", 2, 2))
+    assert jobs.load_scd2_table(store, table, source, now=at(0)) == ("initial_load", 3)
+    assert jobs.versioned_rows(store, table).count() == 3
+    # of three current rows, two of them equal, one stays
+    assert jobs.repair_scd2_table(store, table, dry_run=False, now=at(1)) == (1, 2)
+    assert jobs.repair_scd2_table(store, table) == (0, 0)
+
+
+def test_backfill_parts_a_version_from_its_repeat(spark, store, at):
+    known = [(1, "A", 10, 1), (1, "A", 20, 2), (1, "B", 40, 3)]
+    jobs.load_scd2_table(store, PEOPLE, people(spark, *known), now=at(0))
+    late = people(spark, *known, (1, "X", 15, 4))
+    assert jobs.backfill_scd2_table(store, PEOPLE, late, 12, 16, now=at(1)) == ("backfill", 1)
+    versions = jobs.versioned_rows(store, PEOPLE)
+    assert rows(versions, "modified", "name") == [(10, "A"), (15, "X"), (20, "A"), (40, "B")]
+
+
+def test_backfill_removes_what_the_source_lost(spark, store, at):
+    jobs.load_partition_table(store, FACTS, facts(spark, 1, 2, 3, 4), now=at(0))
+    source = facts(spark, 1, 2, 4, amount=7)
+    jobs.backfill_partition_table(store, FACTS, source, low=2, high=3, load_id="B", now=at(1))
+    assert {r[0] for r in rows(store.partitions("facts"), "day")} == {1, 2, 4}
+    store.roll_back("facts", "day", "B")
+    want = facts(spark, 1, 2, 3, 4)
+    assert rows(store.partitions("facts"), *want.columns) == rows(want)
+    # nothing but the removal is left to do
+    jobs.backfill_partition_table(store, FACTS, source, values=[3], now=at(2))
+    assert {r[0] for r in rows(store.partitions("facts"), "day")} == {1, 2, 4}
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "string"])
+def test_roll_back_of_values_that_paths_escape(spark, store, at, kind):
+    table = PartitionTable("odd", "day")
+    odd = {"timestamp_ntz": "2024-01-02 10:00:00", "string": "a:b/c%20 d=e"}[kind]
+    plain = {"timestamp_ntz": "2024-01-01 00:00:00", "string": "x"}[kind]
+
+    def source(*values):
+        made = spark.createDataFrame([(v, 1) for v in values], "day string, v int")
+        return made.select(F.col("day").cast(kind).alias("day"), "v")
+
+    jobs.load_partition_table(store, table, source(plain), now=at(0))
+    jobs.load_partition_table(store, table, source(plain, odd), load_id="L2", now=at(1))
+    assert store.partitions("odd").count() == 2
+    store.roll_back("odd", "day", "L2")
+    assert rows(store.partitions("odd"), "day", "v") == rows(source(plain))
+
+
 def test_crash_before_publishing_versions(spark, store, at, monkeypatch):
     jobs.load_scd2_table(store, PEOPLE, people(spark, *DAY1), now=at(0))
     before = rows(jobs.versioned_rows(store, PEOPLE))

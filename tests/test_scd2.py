@@ -182,6 +182,16 @@ def test_repair_leaves_exactly_one_and_is_a_fixed_point(damaged):
     assert rows(scd2_checks.repair(fixed, TABLE)) == rows(fixed)
 
 
+@pytest.mark.parametrize("max_rows", [None, 2])
+def test_equal_rows_leave_one_current(damaged, max_rows):
+    twice = damaged.unionByName(damaged)
+    for fix in (scd2_checks.repair, scd2_checks.rebuild_flags):
+        fixed = fix(twice, TABLE, max_rows)
+        assert fixed.count() == twice.count()
+        assert scd2_checks.multiple_latest(fixed, TABLE).isEmpty()
+        assert rows(fixed.where("is_latest AND id = 1"), "name") == [("c",)]
+
+
 def test_rebuild_also_heals_keys_without_a_current_row(damaged):
     fixed = scd2_checks.rebuild_flags(damaged, TABLE)
     assert rows(fixed.where("is_latest"), "name") == [("c",), ("d",), ("e",)]

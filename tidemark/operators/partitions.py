@@ -17,9 +17,6 @@ from tidemark.functions.canonical import fingerprint, row_number60
 from tidemark.operators.ordered import OrderedRows
 from tidemark.sources.tables import typed_lit
 
-# Fixed value: the most range partitions a table may have.
-MAX_RANGE_PARTITIONS = 15_000
-
 
 def partition_values(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
     """Sorted distinct non-null values, optionally within inclusive bounds."""
@@ -74,8 +71,6 @@ def range_partition_number(value: Column, boundaries: Sequence) -> Column:
 
     The number is 1 + the boundaries at or below the value.
     """
-    if len(boundaries) >= MAX_RANGE_PARTITIONS:
-        raise ValueError(f"a table has at most {MAX_RANGE_PARTITIONS} range partitions")
     if not boundaries:
         return F.when(value.isNotNull(), F.lit(1).cast("bigint"))
     edges = F.array(*[F.lit(b) for b in sorted(boundaries)])

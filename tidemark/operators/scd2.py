@@ -192,16 +192,17 @@ def backfill(
 ) -> DataFrame:
     """The target after source changes in ``(low, high]`` are fitted into its history.
 
-    Late rows land between versions that exist, so all versions of the touched keys
-    are rebuilt; the other keys pass through.
+    Late rows land between versions that exist, and may part a version from repeats that
+    were folded into it. So the touched keys are rebuilt from all their source rows and
+    from the stored versions, which the source may have lost; other keys pass through.
     """
     late = changed_since(source, table, low, high)
     keys = list(table.keys)
     touched = late.select(*keys).distinct()
     content = [c for c in source.columns if c in target.columns]
     again = target.join(touched, keys, "left_semi").select(*content)
-    rebuilt = full_history(
-        again.unionByName(late.select(*content)), table, max_group_rows
-    )
+    known = source.where(F.col(table.last_modified).isNotNull())
+    known = known.join(touched, keys, "left_semi").select(*content)
+    rebuilt = full_history(again.unionByName(known), table, max_group_rows)
     others = target.join(touched, keys, "left_anti")
     return others.unionByName(rebuilt.select(*target.columns))

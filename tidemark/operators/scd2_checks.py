@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Scd2Table
-from tidemark.operators.ordered import OrderedRows, latest_per_key
+from tidemark.operators.ordered import OrderedRows, join_null_safe
 from tidemark.operators.quality import null_counts
 from tidemark.operators.scd2 import with_total_order
 
@@ -77,35 +77,43 @@ def violation_report(
     return listed.where((F.col("piece_no") > 1) | (F.col("n_listed") > 1))
 
 
-def _winners(rows: DataFrame, table: Scd2Table) -> tuple[DataFrame, DataFrame, list[str]]:
+def _superseded(rows: DataFrame, table: Scd2Table, max_group_rows: int | None) -> DataFrame:
+    """Rows with ``_after``: what follows in the key; null for one row of each key, also
+    where rows are equal in every column."""
     ordered, order = with_total_order(rows, table)
-    winners = latest_per_key(ordered, table.keys, order).select(
-        *table.keys, F.struct(*order).alias("_winner")
+    return (
+        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows)
+        .next([table.last_modified], "_after")
+        .rows()
     )
-    return ordered, winners, order
 
 
-def repair(rows: DataFrame, table: Scd2Table) -> DataFrame:
+def repair(
+    rows: DataFrame, table: Scd2Table, max_group_rows: int | None = None
+) -> DataFrame:
     """Leave the newest of several current rows current, and end the others.
 
-    Sound keys and superseded rows pass through. Only keys that break the rule take
-    part in the join, one row each. A closed row without an end gets the winner's
-    modification stamp.
+    Of equal rows one stays current. Sound keys and superseded rows pass through; only
+    the current rows of keys that break the rule are put in order. A closed row without
+    an end gets the modification stamp of the row that stays.
     """
-    keys = list(table.keys)
     flagged = rows.where(F.col(table.is_latest))
-    broken = multiple_latest(rows, table).select(*keys)
-    _, winners, order = _winners(flagged.join(broken, keys, "left_semi"), table)
-    ordered, _ = with_total_order(flagged, table)
-    joined = ordered.join(winners, keys, "left")
-    loses = F.col("_winner").isNotNull() & ~F.struct(*order).eqNullSafe(F.col("_winner"))
+    broken = (
+        flagged.groupBy(*table.keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(table.last_modified).alias("_newest"))
+        .where(F.col("_n") > 1)
+        .drop("_n")
+    )
+    sound = join_null_safe(flagged, broken.drop("_newest"), table.keys, "left_anti")
+    unsound = join_null_safe(flagged, broken, table.keys, "inner")
+    loses = F.col("_after").isNotNull()
     changes = {table.is_latest: ~loses}
     if table.end_date:
-        closed = F.coalesce(F.col(table.end_date), F.col("_winner")[table.last_modified])
+        closed = F.coalesce(F.col(table.end_date), F.col("_newest"))
         changes[table.end_date] = F.when(loses, closed).otherwise(F.col(table.end_date))
-    repaired = joined.withColumns(changes).select(*rows.columns)
+    repaired = _superseded(unsound, table, max_group_rows).withColumns(changes)
     untouched = rows.where(~F.coalesce(F.col(table.is_latest), F.lit(False)))
-    return untouched.unionByName(repaired)
+    return untouched.unionByName(sound).unionByName(repaired.select(*rows.columns))
 
 
 def repair_counts(rows: DataFrame, table: Scd2Table) -> DataFrame:
@@ -117,12 +125,13 @@ def repair_counts(rows: DataFrame, table: Scd2Table) -> DataFrame:
     )
 
 
-def rebuild_flags(rows: DataFrame, table: Scd2Table) -> DataFrame:
-    """Set the flag of every row anew: current is the newest row of its key."""
-    ordered, winners, order = _winners(rows, table)
-    joined = ordered.join(winners, list(table.keys), "left")
-    wins = F.struct(*order).eqNullSafe(F.col("_winner"))
-    return joined.withColumn(table.is_latest, wins).select(*rows.columns)
+def rebuild_flags(
+    rows: DataFrame, table: Scd2Table, max_group_rows: int | None = None
+) -> DataFrame:
+    """Set the flag of every row anew: current is the newest row of its key, one of them
+    if several are equal."""
+    placed = _superseded(rows, table, max_group_rows)
+    return placed.withColumn(table.is_latest, F.col("_after").isNull()).select(*rows.columns)
 
 
 def recent_sample(rows: DataFrame, table: Scd2Table, n: int = 10) -> DataFrame:

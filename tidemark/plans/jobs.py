@@ -28,9 +28,10 @@ from tidemark.config import (
 )
 from tidemark.functions.canonical import table_fingerprint
 from tidemark.operators import partitions, scd2, scd2_checks, static, watermark
+from tidemark.operators.ordered import join_null_safe
 from tidemark.operators.schema import quarantine, require_error_rate
 from tidemark.sinks.store import APPEND, REPLACE, CheckFailed, Store
-from tidemark.sources.tables import only, rows_above, rows_after
+from tidemark.sources.tables import only, rows_above, rows_after, typed_lit
 
 RUN_LOG = (
     "run_id string, table_name string, table_type string, success boolean, error string, "
@@ -102,14 +103,23 @@ def _load_partitions(
     load_id: str,
     now: dt.datetime,
     reason: str,
+    scope: DataFrame | None = None,
 ) -> Outcome:
+    """Stage, check, archive, switch. Published values in ``scope`` that the load does not
+    bring are archived and removed."""
     column = table.partition_column
     staged = store.stage(rows, table.table, column, load_id)
-    if not staged.records:
+    gone, folders = None, []
+    if scope is not None:
+        brought = store.staged(table.table, staged).select(column)
+        gone = scope.select(column).distinct().join(brought, column, "left_anti")
+        folders = store.partition_folders(table.table, column, gone)
+    if not staged.records and not folders:
         return _nothing("no_new_partitions")
     store.check_staged(table.table, column, staged, values)
-    store.archive(table.table, column, staged)
+    store.archive(table.table, column, staged, gone)
     store.switch(table.table, column, staged)
+    store.remove_folders(folders)
     store.publish(table.table, table.kind, [staged], now, reason)
     return reason, staged.records
 
@@ -164,13 +174,16 @@ def backfill_partition_table(
     load_id: str | None = None,
     now: dt.datetime | None = None,
 ) -> Outcome:
-    """Load a range or a list of partition values again, whatever is published."""
-    rows = partitions.backfill_rows(
-        only(source, table.where), table.partition_column, low, high, values
-    )
-    return _load_partitions(
-        store, table, rows, None, load_id or new_load_id(), now or utc_now(), "backfill"
-    )
+    """Load a range or a list of partition values again, whatever is published.
+
+    The range or list says what is replaced: values that the source no longer has go.
+    """
+    column = table.partition_column
+    rows = partitions.backfill_rows(only(source, table.where), column, low, high, values)
+    have = store.partitions(table.table)
+    scope = None if have is None else partitions.backfill_rows(have, column, low, high, values)
+    load_id, now = load_id or new_load_id(), now or utc_now()
+    return _load_partitions(store, table, rows, None, load_id, now, "backfill", scope)
 
 
 def copy_missing_partitions(
@@ -204,7 +217,8 @@ def versioned_rows(store: Store, table: Scd2Table) -> DataFrame | None:
 def _first_versions(rows: DataFrame, table: Scd2Table) -> DataFrame:
     if table.mode == "full_history":
         return scd2.full_history(rows, table)
-    newest = scd2.batch_latest(rows, table)
+    # in mode "append" rows are kept as they come, the first load's too
+    newest = rows if table.mode == "append" else scd2.batch_latest(rows, table)
     control = {table.is_latest: F.lit(True)}
     if table.effective_date:
         control[table.effective_date] = F.col(table.last_modified)
@@ -293,22 +307,36 @@ def backfill_scd2_table(
     load_id: str | None = None,
     now: dt.datetime | None = None,
 ) -> Outcome:
-    """Fit source changes in ``(low, high]`` into the published history."""
+    """Fit source changes in ``(low, high]`` into the published history.
+
+    All source rows of the touched keys up to the published mark are read again: a late
+    row may part a version from repeats that were folded into it.
+    """
     target = versioned_rows(store, table)
     if target is None:
         raise ValueError(f"{table.table} has not been loaded yet")
     load_id = load_id or new_load_id()
-    late = scd2.changed_since(only(source, table.where), table, low, high)
+    # a backfill never moves the mark
+    mark = store.state(table.table)["last_value"]
+    rows, stamp = only(source, table.where), table.last_modified
+    late = scd2.changed_since(rows, table, low, high)
+    touched = late.select(*table.keys).distinct()
+    outside = F.lit(False)
+    if low is not None:
+        outside = outside | (F.col(stamp) <= typed_lit(rows, stamp, low))
+    if high is not None:
+        outside = outside | (F.col(stamp) > typed_lit(rows, stamp, high))
+    published = F.col(stamp) <= F.lit(mark).cast(rows.schema[stamp].dataType)
+    earlier = join_null_safe(rows.where(published & outside), touched, table.keys, "left_semi")
     extract = store.write(
-        late, table.table, EXTRACT, load_id, REPLACE, table.last_modified, required=table.keys
+        earlier.unionByName(late), table.table, EXTRACT, load_id, REPLACE, stamp, required=table.keys
     )
     if not extract.records:
         return _nothing("no_data_in_source")
-    after = scd2.backfill(store.read_load(table.table, extract), target, table)
-    # a backfill never moves the mark
-    mark = store.state(table.table)["last_value"]
+    known = store.read_load(table.table, extract)
+    after = scd2.backfill(known, target, table)
     _publish_versions(store, table, after, REPLACE, load_id, now or utc_now(), "backfill", mark)
-    return "backfill", extract.records
+    return "backfill", scd2.changed_since(known, table, low, high).count()
 
 
 def repair_scd2_table(

@@ -257,12 +257,16 @@ class Store:
             if not outside.isEmpty():
                 raise CheckFailed(f"{table}: staged rows outside the partitions to load")
 
-    def archive(self, table: str, column: str, staged: Written) -> None:
-        """Copy the published partitions that the staged ones are about to replace."""
+    def archive(
+        self, table: str, column: str, staged: Written, gone: DataFrame | None = None
+    ) -> None:
+        """Copy the published partitions that the staged ones are about to replace, and
+        those of the values in ``gone``."""
         have = self.partitions(table)
         if have is None:
             return
-        values = self.staged(table, staged).select(column).distinct()
+        values = self.staged(table, staged).select(column)
+        values = (values if gone is None else values.union(gone.select(column))).distinct()
         replaced = have.join(values, column, "left_semi")
         folder = self.path(table, "archive", f"load_id={staged.load_id}")
         self._write(replaced.select(*have.columns), folder, column)
@@ -271,8 +275,28 @@ class Store:
         """Put the staged partitions in the place of the published ones; others stay."""
         self._replace(self.staged(table, staged), table, column)
 
+    def partition_folders(self, table: str, column: str, values: DataFrame) -> list[str]:
+        """Folders of the published partitions with the given values: names, not data.
+
+        They are taken from the files themselves, so however a value is written in a path.
+        """
+        have = self.partitions(table)
+        if have is None:
+            return []
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
+        placed = have.select(column, folder.alias("folder")).distinct()
+        found = placed.join(values, column, "left_semi").select("folder").distinct()
+        return sorted(row["folder"] for row in found.collect())
+
+    def remove_folders(self, folders: Sequence[str]) -> None:
+        """Delete folders of partitions, each a metadata change; readers list what is left."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
+
     def roll_back(self, table: str, column: str, load_id: str) -> None:
-        """Undo a switch: archived partitions return, partitions it added become empty."""
+        """Undo a switch: archived partitions return, partitions it added go."""
         staging = self.path(table, "staging", f"load_id={load_id}")
         archive = self.path(table, "archive", f"load_id={load_id}")
         have = self.partitions(table)
@@ -282,12 +306,10 @@ class Store:
         archived = self._read_if_there(archive, have.schema)
         if archived is not None:
             added = added.join(archived.select(column).distinct(), column, "left_anti")
+        folders = self.partition_folders(table, column, added)
+        if archived is not None:
             self._replace(archived, table, column)
-        nothing = have.where(F.lit(False)).drop(column)
-        # one folder per partition value, each a metadata change
-        for row in added.select(F.col(column).cast("string").alias("value")).collect():
-            folder = self.path(table, PARTITIONS, f"{column}={row['value']}")
-            nothing.write.mode("overwrite").parquet(folder)
+        self.remove_folders(folders)
 
     def _replace(self, rows: DataFrame, table: str, column: str) -> None:
         # the rows come from folders that are laid out by partition value already, so they
