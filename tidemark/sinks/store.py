@@ -19,6 +19,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,17 @@ class Written:
     schema_json: str
 
 
+def _observed(seen: Observation, df: DataFrame) -> dict:
+    """What a write counted. Spark folds a plan that it knows to be empty together with
+    its metrics; such a write had no rows."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        if not df.isEmpty():
+            raise
+        return {"records": 0}
+
+
 class Store:
     """Published tables under one root folder."""
 
@@ -165,8 +177,8 @@ class Store:
             metrics.append(F.count_if(F.col(name).isNull()).alias(f"null {name}"))
         observed = watched.observe(seen, *metrics).select(*df.columns)
         self._write(observed, self.path(table, part, f"load_id={load_id}"))
-        found = seen.get
-        empty = {c: found[f"null {c}"] for c in required if found[f"null {c}"]}
+        found = _observed(seen, df)
+        empty = {c: n for c in required if (n := found.get(f"null {c}"))}
         if empty:
             raise CheckFailed(f"{table}: rows without a value in {empty}")
         return Written(
@@ -221,13 +233,13 @@ class Store:
         )
         spread = observed.hint("rebalance", F.col(column))
         self._write(spread, self.path(table, "staging", f"load_id={load_id}"), column)
-        found = seen.get
+        found = _observed(seen, df)
         return Written(
             PARTITIONS,
             APPEND,
             load_id,
             found["records"],
-            found["high"],
+            found.get("high"),
             None,
             ordered.schema.json(),
         )
