@@ -58,6 +58,19 @@ def shipped(spark, sf):
     return load(spark, sf, "lineitem").withColumn(DAY, day_number("l_shipdate"))
 
 
+def within(df, column: str, first: str | None = None, last: str | None = None):
+    """Rows of whole days, both ends included, by literals on the date itself.
+
+    The day number is computed, so a condition on it does not reach the scan; this one does.
+    """
+    kind = df.schema[column].dataType
+    if first is not None:
+        df = df.where(F.col(column) >= F.lit(first).cast(kind))
+    if last is not None:
+        df = df.where(F.col(column) < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
+    return df
+
+
 def visible(df):
     """Decimals as text: both engines then return the same value type."""
     return df.withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
@@ -150,7 +163,9 @@ CASES: dict[str, Case] = {
         "SELECT * FROM orders",
     ),
     "partition_scan": Case(
-        lambda spark, sf: tables.partition_rows(shipped(spark, sf), DAY, 19970615),
+        lambda spark, sf: tables.partition_rows(
+            within(shipped(spark, sf), "l_shipdate", "1997-06-15", "1997-06-15"), DAY, 19970615
+        ),
         with_ctes([SHIPPED], "SELECT * FROM shipped WHERE cobid = 19970615"),
     ),
     "range_scan": Case(
@@ -188,7 +203,7 @@ WHERE l_shipdate > TIMESTAMP '1997-01-31' AND l_shipdate <= TIMESTAMP '1997-02-2
     ),
     "partition_values": Case(
         lambda spark, sf: partitions.partition_values(
-            shipped(spark, sf), DAY, STORED_GAP[0], STORED_GAP[1]
+            within(shipped(spark, sf), "l_shipdate", "1998-01-01", "1998-12-31"), DAY, *STORED_GAP
         ),
         with_ctes(
             [SHIPPED],
@@ -196,7 +211,9 @@ WHERE l_shipdate > TIMESTAMP '1997-01-31' AND l_shipdate <= TIMESTAMP '1997-02-2
         ),
     ),
     "new_partition_values": Case(
-        lambda spark, sf: partitions.new_partition_values(shipped(spark, sf), DAY, LAST),
+        lambda spark, sf: partitions.new_partition_values(
+            within(shipped(spark, sf), "l_shipdate", "1999-12-31"), DAY, LAST
+        ),
         with_ctes([SHIPPED], f"SELECT DISTINCT cobid FROM shipped WHERE cobid > {LAST}"),
     ),
     "missing_partitions": Case(
@@ -259,7 +276,9 @@ FROM shipped GROUP BY cobid""",
         lambda spark, sf: visible(
             partitions.replace_partitions(
                 target(spark, sf),
-                partitions.backfill_rows(source(spark, sf), DAY, *BACKFILL),
+                partitions.backfill_rows(
+                    within(source(spark, sf), "o_orderdate", "1997-06-15", "1997-07-15"), DAY, *BACKFILL
+                ),
                 DAY,
             )
         ),
@@ -328,6 +347,26 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DE
 AND (source_rows <> target_rows OR source_fingerprint <> target_fingerprint)""",
         ),
     ),
+    "checksum_comparison": Case(
+        lambda spark, sf: partitions.compare_partitions(
+            source(spark, sf), target(spark, sf), DAY, algorithm="checksum"
+        ).select(
+            DAY,
+            "source_rows",
+            "target_rows",
+            (F.col("source_fingerprint") == F.col("target_fingerprint")).alias("same"),
+        ),
+        with_ctes(
+            [SOURCE, TARGET],
+            """SELECT cobid, CAST(sum(n_source) AS BIGINT) AS source_rows, CAST(sum(n_target) AS BIGINT) AS target_rows,
+  bool_and(n_source = n_target) AS same
+FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, cobid,
+        count(*) FILTER (WHERE side = 1) AS n_source, count(*) FILTER (WHERE side = 2) AS n_target
+      FROM (SELECT *, 1 AS side FROM source UNION ALL SELECT *, 2 FROM target)
+      GROUP BY o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, cobid)
+GROUP BY cobid""",
+        ),
+    ),
     "partition_load_strategy": Case(
         lambda spark, sf: partitions.partition_load_strategy(
             source(spark, sf), target(spark, sf), DAY

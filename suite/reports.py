@@ -28,6 +28,7 @@ def run_log(spark, sf):
     kind = (
         F.when(F.col("event_type") == "signup", "static")
         .when(F.col("event_type") == "purchase", "scd")
+        .when(F.col("event_type") == "view", "append")
         .otherwise("partition")
     )
     return load(spark, sf, "events").select(
@@ -86,7 +87,7 @@ def status(spark, sf):
 
 LOG = """run_log AS (
   SELECT strftime(ts, '%Y-%m-%d') AS run_id, 'user_' || user_id AS table_name,
-         CASE event_type WHEN 'signup' THEN 'static' WHEN 'purchase' THEN 'scd' ELSE 'partition' END AS table_type,
+         CASE event_type WHEN 'signup' THEN 'static' WHEN 'purchase' THEN 'scd' WHEN 'view' THEN 'append' ELSE 'partition' END AS table_type,
          event_type NOT IN ('error', 'click') AS success, CAST(json_extract_string(props, '$.k') AS BIGINT) AS total_records,
          CAST(value AS DECIMAL(18,3)) AS duration_seconds, ts AS finished_at FROM events)"""
 COUNTED = """counted AS (
@@ -114,7 +115,8 @@ FROM (SELECT run_id, count(*) AS tables_processed, count(*) FILTER (WHERE succes
         count(*) FILTER (WHERE NOT success) AS failed_tables, CAST(sum(total_records) AS BIGINT) AS total_records,
         CAST(sum(duration_seconds) AS DOUBLE) AS total_duration,
         count(*) FILTER (WHERE table_type = 'partition') AS partition_tables, count(*) FILTER (WHERE table_type = 'scd') AS scd_tables,
-        count(*) FILTER (WHERE table_type = 'static') AS static_tables FROM run_log GROUP BY run_id)""",
+        count(*) FILTER (WHERE table_type = 'static') AS static_tables,
+        count(*) FILTER (WHERE table_type = 'append') AS append_tables FROM run_log GROUP BY run_id)""",
         ),
     ),
     "load_metrics": Case(

@@ -7,7 +7,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from suite.partitions import CASES
+from tests.conftest import SF_DIR, rows
 from tidemark.config import AppendTable, PartitionTable, Scd2Table, StaticTable
 from tidemark.operators import partitions, quality, report, watermark
 from tidemark.sources import tables
@@ -120,6 +121,16 @@ def test_predicates_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in narrow._jdf.queryExecution().executedPlan().toString()
 
 
+def test_day_ranges_of_the_suite_reach_the_scan(spark):
+    found = {
+        "partition_scan": "l_shipdate", "partition_values": "l_shipdate",
+        "new_partition_values": "l_shipdate", "backfill_partitions": "o_orderdate",
+    }
+    for key, column in found.items():
+        plan = CASES[key].run(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert f"GreaterThanOrEqual({column}," in plan, key
+
+
 def test_keys(spark):
     df = spark.createDataFrame(
         [(i, i // 2, None if i == 3 else i, i % 2) for i in range(200)], "a int, b int, c int, d int"
@@ -182,6 +193,8 @@ def test_summary_and_metrics(spark):
     found = report.run_summary(runs).first()
     assert (found["tables_processed"], found["failed_tables"], found["total_records"]) == (3, 1, 100)
     assert (found["records_per_second"], found["scd_tables"], found["all_successful"]) == (50.0, 3, False)
+    clicks = runs.withColumn("table_type", F.lit("append"))
+    assert report.run_summary(clicks).first()["append_tables"] == 3
     metrics = {r["table_name"]: r for r in report.load_metrics(runs).collect()}
     assert metrics["b"]["success_rate"] == 0.0 and metrics["b"]["mean_duration"] is None
 
@@ -194,5 +207,5 @@ def test_status(spark):
         "table_name string, stored_fingerprint string, target_fingerprint string",
     )
     assert rows(report.pipeline_status(states, pending, prints)) == [
-        ("a", "5", 3, "consistent"), ("b", "7", 0, "inconsistent"),
+        ("a", "5", 3, "consistent"), ("b", "7", None, "inconsistent"),
     ]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Table types, and the thresholds of the alert rules.
-TABLE_TYPES = ("partition", "scd", "static")
+TABLE_TYPES = ("partition", "scd", "static", "append")
 SILENT_HOURS = 24
 SLOW_FACTOR = 5.0
 MIN_SECONDS = 0.001
