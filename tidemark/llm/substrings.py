@@ -295,8 +295,12 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("print"), text.alias("text"))
+    # columns that have their type already stay as they are: an alias would keep the plans of
+    # equal joins apart, and with them their shuffles
+    kinds = dict(docs.dtypes)
+    doc_id = F.col("doc_id") if kinds["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    text = F.col("text") if kinds["text"] == "string" else F.col("text").cast("string").alias("text")
+    return docs.select(doc_id, F.xxhash64(text).alias("print"), text)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -308,9 +312,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     doc_id loses nothing and removes nothing.
     """
     base = _rows(docs)
+    # repeats() joins the same rows in the same way, so texts are shuffled once for both
+    known = base.where("doc_id is not null")
+    nameless = base.where("doc_id is null").select(
+        "doc_id", "text", F.lit(None).cast("array<int>").alias("starts"), F.lit(None).cast("boolean").alias("copy")
+    )
     return (
-        base.join(repeats(base), ["doc_id", "print"], "left")
+        known.join(repeats(known), ["doc_id", "print"], "left")
         .select("doc_id", "text", "starts", "copy")
+        .union(nameless)
         .mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
     )
 
