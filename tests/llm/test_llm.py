@@ -282,6 +282,22 @@ def test_url_verdicts(spark):
     assert urls.judge(table.limit(0)).count() == 0
 
 
+def test_url_words_beyond_any_size(spark):
+    """Words seen as often as 21,000 others count as evidence, whatever their place among them."""
+    letters = lambda n: "".join("abcdefghij"[int(c)] for c in f"{n:05d}")
+    words = [f"q{letters(n)}" for n in range(21_000)]
+    rows = [f"http://garden/{'/'.join(words[i : i + 12])}" for i in range(0, len(words), 12)] * 6
+    rows += ["http://poker/x"] * 2_000
+    table = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    assert all(r.verdict == ("block" if r.host == "poker" else "allow") for r in urls.judge(table).collect())
+
+
+def test_url_words_of_any_length():
+    long = "donaudampfschifffahrtsgesellschaft"
+    known = urls.Words({long: -9.0, "news": -3.0}, 12.0)
+    assert urls.segment(f"news{long}", known) == ("news", long)
+
+
 # ---- all together ------------------------------------------------------------
 
 

@@ -13,13 +13,13 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, written
 
 #: (verdict, host, path)
 RULES = (
@@ -32,9 +32,7 @@ RULES = (
 SEEDS = (
     "adult ads bet bets casino cheap escort gambling lottery pills poker porn sex spam track viagra xxx"
 ).split()
-#: Words of the unigram model and of naive Bayes, the most frequent ones: the size of the
-#: model, about 2 MB, that goes with every task.
-VOCABULARY = 20_000
+#: Letters of a piece that is no known word; known words have their own length.
 LONGEST = 20
 _PARTS = re.compile(r"[^\W\d_]+")
 
@@ -72,11 +70,12 @@ class Words:
 
 def segment(name: str, words: Words) -> tuple[str, ...]:
     """The likeliest split of a name into words; an unseen word costs by its length."""
+    longer = {len(w) for w in words.shares if len(w) > LONGEST}
     best: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(name) + 1):
-        best.append(
-            min((best[start][0] + words.cost(name[start:end]), start) for start in range(max(0, end - LONGEST), end))
-        )
+        starts = [end - n for n in longer if n <= end and name[end - n : end] in words.shares]
+        starts += range(max(0, end - LONGEST), end)
+        best.append(min((best[start][0] + words.cost(name[start:end]), start) for start in starts))
     out, end = [], len(name)
     while end:
         out.append(name[best[end][1] : end])
@@ -84,102 +83,104 @@ def segment(name: str, words: Words) -> tuple[str, ...]:
     return tuple(reversed(out))
 
 
-class Reader:
-    """Tokens of urls under one unigram model; the last names are remembered."""
-
-    def __init__(self, words: Words):
-        self.split = lru_cache(1 << 14)(lambda name: segment(name, words))
-
-    def host(self, host: str) -> list[str]:
-        return [w for part in _PARTS.findall(host) for w in self.split(part)]
-
-    def path(self, path: str) -> list[str]:
-        return [w for part in _PARTS.findall(path.lower()) for w in self.split(part)]
-
-    def tokens(self, host: str, path: str) -> list[str]:
-        return [f"host {w}" for w in self.host(host)] + [f"path {w}" for w in self.path(path)]
-
-
-@dataclass(frozen=True)
-class Bayes:
-    """Logarithms of allow over block: prior, each token, and tokens never seen."""
-
-    prior: float
-    tokens: dict[str, float]
-    unseen: float
-
-    def blocked(self, tokens: Iterable[str]) -> bool:
-        return self.prior + sum(self.tokens.get(t, self.unseen) for t in tokens) < 0
-
-
 def split_urls(pages: DataFrame) -> DataFrame:
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     return pages.select(F.col("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
 
 
-def fit_words(urls: DataFrame) -> Words:
-    """Unigram counts of what is known to be words: parts of paths, and of host labels that
-    hyphens or digits cut. A label in one piece may be several words and is not counted.
-    The seeds are words too."""
+def fit_words(urls: DataFrame) -> tuple[DataFrame, int]:
+    """Unigram counts (word, count) and their total, of what is known to be words: parts of
+    paths, and of host labels that hyphens or digits cut. A label in one piece may be several
+    words and is not counted. The seeds are words too."""
     cut = F.filter(F.split("host", "\\."), lambda label: label.rlike("[-0-9]"))
     named = F.lower(F.concat_ws("/", F.array_join(cut, "/"), "path"))
     parts = F.regexp_extract_all(named, F.lit("\\p{L}+"), F.lit(0))
-    counts = urls.select(F.explode(parts).alias("word")).where(F.length("word") <= LONGEST).groupBy("word").count()
-    top = counts.orderBy(F.desc("count"), "word").limit(VOCABULARY).collect()
-    total = sum(r["count"] for r in top) + len(SEEDS)
-    found = {r["word"]: r["count"] for r in top}
-    for seed in SEEDS:  # at least as likely as a word of one in ten thousand
-        found[seed] = max(found.get(seed, 0), 1 + total // 10_000)
-    return Words({w: math.log(n / total) for w, n in found.items()}, math.log(total))
+    counts = written(urls.select(F.explode(parts).alias("word")).groupBy("word").count(), "words")
+    total = (counts.agg(F.sum("count")).first()[0] or 0) + len(SEEDS)
+    # a seed is at least as likely as a word of one in ten thousand
+    seeds = urls.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, SEEDS))).alias("word"), F.lit(1 + total // 10_000).cast("long").alias("count")
+    )
+    return counts.union(seeds).groupBy("word").agg(F.max("count").alias("count")), total
 
 
-def _examples(batches: Iterable[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
-    reader, seeds = Reader(words), set(SEEDS)
+def _parts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tokens, blocks, many = [], [], []
-        for host, path, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            block = not seeds.isdisjoint(reader.host(host))
-            for token in [*reader.tokens(host, path), ""]:  # the empty token counts urls
-                tokens.append(token)
-                blocks.append(block)
-                many.append(n)
+        found = [
+            (i, kind, name)
+            for i, host, path in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for kind, text in (("host", host), ("path", path.lower()))
+            for name in _PARTS.findall(text)
+        ]
+        kinds = {"id": pa.int64(), "kind": pa.string(), "name": pa.string()}
         yield pa.RecordBatch.from_arrays(
-            [pa.array(tokens, pa.string()), pa.array(blocks, pa.bool_()), pa.array(many, pa.int64())],
-            ["token", "block", "n"],
+            [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds.values())], list(kinds)
         )
 
 
-def fit_bayes(urls: DataFrame, words: Words) -> Bayes:
-    """Token counts of both classes over all urls, equal ones counted first."""
-    rows = urls.groupBy("host", "path").agg(F.count("*").alias("n"))
-    counts = (
-        rows.mapInArrow(partial(_examples, words=words), "token string, block boolean, n long")
-        .groupBy("token")
-        .agg(
-            F.sum(F.when(F.col("block"), F.col("n")).otherwise(0)).alias("block"),
-            F.sum(F.when(F.col("block"), 0).otherwise(F.col("n"))).alias("allow"),
-        )
+def _segmented(batches: Iterable[pa.RecordBatch], total: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for name, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            shares = {k["word"]: math.log(k["count"] / total) for k in known or ()}
+            found.append(segment(name, Words(shares, math.log(total))))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["name", "words"])
+
+
+def segmented(names: DataFrame, words: DataFrame, total: int) -> DataFrame:
+    """name, words of each of the names (name), which are distinct.
+
+    A name meets the known words among its pieces by digests in Spark, so the vocabulary is
+    nowhere held whole. Words that only share a digest do not occur in the name and are
+    without effect.
+    """
+    lengths = sorted(r[0] for r in words.select(F.length("word")).distinct().collect())
+    names = names.select("name", F.xxhash64("name").alias("key"))
+    room = F.length("name") - F.col("at")
+    pieces = (
+        names.select("name", "key", F.explode(F.sequence(F.lit(0), F.length("name") - 1)).alias("at"))
+        .select("name", "key", "at", F.explode(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= room)).alias("n"))
+        .select("key", F.xxhash64(F.substring("name", F.col("at") + 1, F.col("n"))).alias("digest"))
     )
-    top = counts.orderBy(F.desc(F.col("block") + F.col("allow")), "token").limit(VOCABULARY + 1).collect()
-    found = {r["token"]: (r["block"], r["allow"]) for r in top}
-    blocked, allowed = found.pop("", (0, 0))
-    of_block = sum(b for b, _ in found.values()) + len(found) + 1
-    of_allow = sum(a for _, a in found.values()) + len(found) + 1
-    return Bayes(
-        math.log((allowed + 1) / (blocked + 1)),
-        {t: math.log((a + 1) / of_allow) - math.log((b + 1) / of_block) for t, (b, a) in found.items()},
-        math.log(of_block / of_allow),
+    known = (
+        pieces.join(words.select("word", "count", F.xxhash64("word").alias("digest")), "digest")
+        .groupBy("key")
+        .agg(F.collect_set(F.struct("word", "count")).alias("known"))
+    )
+    return (
+        names.join(known, "key", "left")
+        .select("name", "known")
+        .mapInArrow(partial(_segmented, total=total), "name string, words array<string>")
     )
 
 
-def _judged(batches: Iterable[pa.RecordBatch], words: Words, bayes: Bayes) -> Iterator[pa.RecordBatch]:
-    reader = Reader(words)
-    for batch in batches:
-        found = [
-            "block" if bayes.blocked(reader.tokens(host, path)) else "allow"
-            for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "judged"])
+def fit_bayes(parts: DataFrame, names: DataFrame, urls: int) -> tuple[float, DataFrame]:
+    """Logarithms of allow over block: the prior, and the weight of each kind and name.
+
+    The weight of a name is the sum over its words. Decimals add up to the same whatever
+    the order, so equal urls get equal verdicts.
+    """
+    seeded = names.where(F.arrays_overlap("words", F.array(*map(F.lit, SEEDS)))).select("name")
+    blocks = written(parts.where("kind = 'host'").join(seeded, "name", "left_semi").select("id").distinct(), "blocks")
+    blocked = blocks.count()
+    block = F.coalesce("block", F.lit(0))
+    used = (
+        parts.join(blocks.withColumn("block", F.lit(1)), "id", "left")
+        .groupBy("kind", "name")
+        .agg(F.sum(block).alias("block"), F.sum(1 - block).alias("allow"))
+    )
+    tokens = written(used.join(names, "name").withColumn("word", F.explode("words")).drop("words"), "tokens")
+    counts = written(tokens.groupBy("kind", "word").agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")), "counts")
+    many, of_block, of_allow = counts.agg(F.count("*"), F.sum("block"), F.sum("allow")).first()
+    of_block, of_allow = (of_block or 0) + many + 1, (of_allow or 0) + many + 1
+    ratio = F.log((F.col("allow") + 1) / of_allow) - F.log((F.col("block") + 1) / of_block)
+    weights = (
+        tokens.select("kind", "name", "word")
+        .join(counts.select("kind", "word", ratio.cast("decimal(20,15)").alias("weight")), ["kind", "word"])
+        .groupBy("kind", "name")
+        .agg(F.sum("weight").alias("weight"))
+    )
+    return math.log((urls - blocked + 1) / (blocked + 1)), weights
 
 
 def judge(pages: DataFrame) -> DataFrame:
@@ -190,12 +191,16 @@ def judge(pages: DataFrame) -> DataFrame:
     rows with a null page_id are judged like any other. A path that is empty fits no rule,
     because every rule's path starts with a slash.
     """
-    urls = split_urls(pages)
-    words = fit_words(urls)
-    bayes = fit_bayes(urls, words)
-    kind = urls.schema["page_id"].dataType.simpleString()
-    judged = urls.mapInArrow(
-        partial(_judged, words=words, bayes=bayes), f"page_id {kind}, host string, path string, judged string"
-    )
+    urls = written(split_urls(pages).withColumn("id", F.monotonically_increasing_id()), "urls")
+    parts = urls.select("id", "host", "path").mapInArrow(_parts_of, "id long, kind string, name string")
+    parts = written(parts, "parts")
+    words, total = fit_words(urls)
+    names = written(segmented(parts.select("name").distinct(), words, total), "names")
+    prior, weights = fit_bayes(parts, names, urls.count())
+    scores = parts.join(weights, ["kind", "name"]).groupBy("id").agg(F.sum("weight").alias("score"))
+    score = F.lit(prior).cast("decimal(20,15)") + F.coalesce("score", F.lit(0))
+    judged = F.when(score < 0, "block").otherwise("allow")
     rule, verdict = ruled(F.col("host"), F.col("path"))
-    return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, "judged").alias("verdict"))
+    return urls.join(scores, "id", "left").select(
+        "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, judged).alias("verdict")
+    )
