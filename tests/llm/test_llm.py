@@ -252,6 +252,24 @@ def test_main_text(spark):
     assert by[4, None].text == "else" and by[None, "nourl"].n_chars == 1
 
 
+def test_articles_are_whole(spark):
+    text = lambda page: html.main_text(html.lines(page))
+    body = "<article><div class='article-header'><h1>Head</h1></div><div class='header'>Sub</div><p>One</p></article>"
+    for frame in ("div class='layout-no-sidebar'", "main class='with-sidebar'", "div id='page' class='has-header'", "div class=widget", "main class='modal'", "form"):
+        name = frame.split()[0]
+        page = f"<div class='cookie-banner'>No</div><{frame}><nav>No</nav>{body}<div class=sidebar>No</div></{name}>"
+        found = text(page).split("\n")
+        assert found == ["Head", "Sub", "One"], frame
+    assert text("<div id='page' class='has-header'><p>One</p></div><div class='site-ad'>No</div>") == text("<div class='menu'><p>One</div>") == "One"
+    assert text("<article class='post'>One<div class='comments'><article class='comment'>No</article></div></article>") == "One"
+    assert text("<article>One<svg a='>'/> two<math/> three</article><svg><path/>no</svg>") == "One two three"
+    rows = [(1, "http://h/a/1", "<p>Menu</p><p>A long text of its own, once</p>"), (2, "http://h/a/2", "<p>Menu</p><p>A copied text, of some length</p>")]
+    rows += [(3, "http://h/a/3", "<p>Menu</p><p>A copied text, of some length</p>"), (4, "http://h/a/4", "<p>Menu</p><p>A copied text, of some length</p>")]
+    found = got(html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert found[1].text == "A long text of its own, once" and found[2].text == "A copied text, of some length"
+    assert all("A copied text, of some length" in found[i].text for i in (3, 4))
+
+
 def test_common_lines():
     rng = random.Random(3)
     for _ in range(200):
