@@ -83,6 +83,16 @@ def test_benchmark_passages(spark):
 # ---- language and quality ----------------------------------------------------
 
 
+def test_passages_with_ruled_lines(spark):
+    """A run of one word weighs much in a fingerprint; the similarity is 179 of 221 shingles."""
+    rng = random.Random(8)
+    bodies = ["".join(f"{rng.randrange(10**9):x} " for _ in range(183)) for _ in range(12)]
+    items = spark.createDataFrame([(i, b + "___ " * 21) for i, b in enumerate(bodies)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, "a b c " + b + "... " * 21) for i, b in enumerate(bodies)], TEXTS)
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, items).collect()}
+    assert found == {(i, i): 179 / 221 for i in range(12)}
+
+
 def test_language_held_out(spark):
     docs = {r.doc_id: r.lang for r in queries.table(spark, SF, "documents").collect()}
     found = queries.op3_language_id(spark, SF).collect()

@@ -1,5 +1,8 @@
 """Benchmark passages in documents: SimHash of item-sized windows, blocks, exact check.
 
+Every window that shares a shingle with its item is judged exactly; the SimHash distance only
+tells which go to the check at once and which through a cheap exact bound first.
+
 Only DataFrame functions: the shingles of a document are one array of 64-bit digests, and
 windows are slices of it.
 """
@@ -14,9 +17,10 @@ from tidemark.llm.common import SPACES, written
 SHINGLE = 5
 SIMILARITY = 0.8
 BITS = 64
-#: Differing bits allowed between a window and its item. Multisets of similarity 0.8 have a
-#: cosine of 0.89, thus 9.7 differing bits of 64 on average with a deviation of 2.9; the
-#: radius lies four deviations above.
+#: Differing bits up to which a window goes to the exact check at once. Of distinct shingles,
+#: sets of similarity 0.8 have a cosine of 0.89, thus 9.7 differing bits of 64 on average with
+#: a deviation of 2.9; repeated shingles can lie farther apart. Windows beyond the radius are
+#: not dropped: they go through an exact bound first (see could_reach).
 RADIUS = 21
 #: Items' shingles are broadcast up to this many rows (about 32 MB); more are shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -157,6 +161,13 @@ def similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def could_reach(a: Column, b: Column) -> Column:
+    """Whether the similarity of two bags can be SIMILARITY, by their digests that the other
+    lacks: each takes one at least from the common weight. Never false for bags that are."""
+    common = F.least(F.size(a) - F.size(F.array_except(a, b)), F.size(b) - F.size(F.array_except(b, a)))
+    return common / (F.size(a) + F.size(b) - common) >= SIMILARITY
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start of documents that hold a benchmark passage.
 
@@ -194,12 +205,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             (F.col("item_id") == F.col("of_item")) & (F.col("key") == F.col("item_key")),
         )
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("item_id", "kind")
+        .select("item_id", "kind", F.lit(True).alias("close"))
         .distinct()
     )
     judged = (
-        prints.join(near, ["item_id", "kind"])
+        prints.join(near, ["item_id", "kind"], "left")
         .join(small(known.select("item_id", "item"), BROADCAST_ROWS), "item_id")
+        .where(F.col("close").isNotNull() | could_reach(F.col("window"), F.col("item")))
         .select(*keys, similarity(F.col("window"), F.col("item")).alias("similarity"))
         .groupBy(*keys)
         .agg(F.max("similarity").alias("similarity"))
