@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,20 @@ def texts(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most so many rows and bytes of one text column.
+
+    A row above the size is alone. Texts take several times their bytes as Python objects.
+    """
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < batch.num_rows:
+        inside = np.cumsum(lengths[at : at + rows], dtype=np.int64) <= size
+        n = max(1, int(inside.sum()))
+        yield batch.slice(at, n)
+        at += n
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Tables of whole groups: consecutive rows that agree in the first `keys` columns.
 

@@ -6,10 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, html, language, quality, simhash, substrings, urls, warc
+from tidemark.llm import (
+    bpe,
+    conversations,
+    decontaminate,
+    embeddings,
+    html,
+    language,
+    merkle,
+    pieces,
+    quality,
+    simhash,
+    substrings,
+    urls,
+    warc,
+)
 from tidemark.llm.common import bucket, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +92,27 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = merkle.leaves(table(spark, sf_dir, "documents"), merkle.tampered_text())
+    return merkle.proofs(merkle.manifest(leaves)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECES)
+    return pieces.decode(encoded, PIECES).select(
+        "doc_id",
+        "n_tokens",
+        "ids_sha256",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +126,14 @@ QUERIES = {
         op8_simhash,
         op9_html_extraction,
         op10_url_filters,
+        op11_conversation_repair,
+        op12_merkle_manifest,
+        op13_sentencepiece,
     )
 }
-SQL = {"op2_decontamination": decontaminate.SQL, "op6_embedding_dedup": embeddings.SQL}
+SQL = {
+    "op2_decontamination": decontaminate.SQL,
+    "op6_embedding_dedup": embeddings.SQL,
+    "op11_conversation_repair": conversations.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+}
