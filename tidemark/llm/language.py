@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import slices
+
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -127,7 +129,7 @@ def judge(text: str | None, model: Model) -> tuple[str, float]:
 
 
 def _judged(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 1)):
         found = [judge(t, model) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -180,7 +182,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _accepted(batches: Iterable[pa.RecordBatch], model: Model, text: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, text)):
         found = [judge(t, model) for t in batch.column(text).cast(pa.string()).to_pylist()]
         yield batch.filter(pa.array([x != UNKNOWN and s >= model.threshold for x, s in found], pa.bool_()))
 

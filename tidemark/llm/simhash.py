@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, group_starts, runs, texts, written
+from tidemark.llm.common import components, group_starts, runs, slices, texts, written
 
 SHINGLE = 4
 SEED = 42
@@ -45,7 +45,7 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def _fingerprints(batches: Iterable[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 1)):
         values = np.array([fingerprint(t, size, seed) for t in texts(batch.column(1))], np.uint64)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), pa.array(values.view(np.int64))], ["doc_id", "print"]

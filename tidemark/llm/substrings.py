@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import slices, written
 
 WINDOW = 50
 GUARD = 12
@@ -183,8 +183,7 @@ def _words(text: str | None) -> list[bytes]:
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[list[list]]:
     """Columns of rows, the second one split into words, a few rows at a time."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
+        for part in slices(batch, 1, size=1 << 20):
             columns = [c.to_pylist() for c in part.columns]
             columns[1] = [_words(t) for t in columns[1]]
             yield from _groups(columns, 1)
@@ -352,8 +351,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
+        for part in slices(batch, 0, size=1 << 20):
             texts, starts, copies, rows = part.columns
             kept: list[str | None] = []
             for text, s, c in zip(texts.to_pylist(), starts.to_pylist(), copies.to_pylist(), strict=True):
