@@ -435,7 +435,7 @@ def test_a_large_partition_is_written_by_several_tasks(spark, store):
         )
         staged = store.stage(rows_, "facts", "day", "L")
         assert staged.records == 200_000
-        folder = store.path("facts", "staging", "load_id=L")
+        folder = store.path("facts", "partitions", "tidemark_load=L")
         files = spark.read.parquet(folder).select("day", F.input_file_name().alias("f"))
         per_day = dict(rows(files.groupBy("day").agg(F.count_distinct("f"))))
     finally:

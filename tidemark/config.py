@@ -70,6 +70,9 @@ class Scd2Table:
 
     ``overlap_seconds`` makes a run read that much below its mark again, for rows that
     arrive late with a stamp already passed. Only "collapse" can take a row twice.
+
+    ``buckets`` keeps the current rows in that many buckets by key, of which a run reads and
+    rewrites those its batch touches. The number stays as it is for the life of a table.
     """
 
     table: str
@@ -84,6 +87,7 @@ class Scd2Table:
     overlap_seconds: int | None = None
     where: str | None = None
     mode: str = "collapse"
+    buckets: int | None = None
     kind: str = field(default="scd", init=False)
 
     def __post_init__(self):
@@ -109,6 +113,8 @@ class Scd2Table:
                 raise ValueError("overlap_seconds must be positive")
             if self.mode != "collapse":
                 raise ValueError("overlap_seconds belongs to the collapse mode")
+        if self.buckets is not None and self.buckets <= 0:
+            raise ValueError("buckets must be positive")
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -165,11 +171,18 @@ class StaticTable:
 
 @dataclass(frozen=True)
 class AppendTable:
-    """Appends source rows above the highest ``watermark_column`` value loaded."""
+    """Appends source rows above the highest ``watermark_column`` value loaded.
+
+    ``keys`` identify a row of the source. With them, rows that share the highest value,
+    arrive up to ``overlap`` below it (seconds for times, else in units of the column), or have
+    no value there, are taken too, each once. Without them rows with no value are set aside.
+    """
 
     table: str
     watermark_column: str
     where: str | None = None
+    keys: tuple[str, ...] = ()
+    overlap: float | None = None
     kind: str = field(default="append", init=False)
 
     def __post_init__(self):
@@ -177,7 +190,10 @@ class AppendTable:
             self,
             table=_name("table", self.table),
             watermark_column=_name("watermark_column", self.watermark_column),
+            keys=_columns("keys", self.keys),
         )
+        if self.overlap is not None and (self.overlap <= 0 or not self.keys):
+            raise ValueError("overlap must be positive and needs keys")
 
 
 TableConfig = PartitionTable | Scd2Table | StaticTable | AppendTable

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Scd2Table
-from tidemark.operators.ordered import OrderedRows, latest_per_key
+from tidemark.operators.ordered import OrderedRows, join_null_safe, latest_per_key
+from tidemark.operators.schema import in_schema
 from tidemark.sources.tables import range_rows
 
 NEW, UPDATED, UNCHANGED = "new", "updated", "unchanged"
@@ -89,13 +90,16 @@ def change_counts(batch: DataFrame, target: DataFrame, table: Scd2Table) -> Data
 
 
 def _new_versions(rows: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
-    """Rows shaped like the target with the control columns of a current version."""
+    """Rows shaped like the target with the control columns of a current version.
+
+    Columns that the rows no longer have are null.
+    """
     control = {table.is_latest: F.lit(True)}
     if table.effective_date:
         control[table.effective_date] = F.col(table.last_modified)
     if table.end_date:
         control[table.end_date] = F.lit(None).cast(target.schema[table.end_date].dataType)
-    return rows.withColumns(control).select(*target.columns)
+    return in_schema(rows.withColumns(control), target.schema)
 
 
 def inserts(batch: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
@@ -155,6 +159,47 @@ def append_and_expire(
     return history.unionByName(kept).unionByName(_new_versions(batch, target, table))
 
 
+def backfill_appended(late: DataFrame, target: DataFrame, table: Scd2Table) -> DataFrame:
+    """The target of mode "append" with late source rows it lacks fitted in as they come.
+
+    No stored row is dropped or folded. A late row ends at the next stamp of its key and is
+    current if there is none. A stored row ends at a late row that follows it at once; one
+    that was current also ends if any late row is newer.
+    """
+    keys, stamp = list(table.keys), table.last_modified
+    content = [c for c in late.columns if c in target.columns]
+    known = join_null_safe(target, late.select(*keys).distinct(), keys, "left_semi")
+    missing = late.select(*content).exceptAll(known.select(*content))
+    fitted = _new_versions(missing, target, table).withColumn("_late", F.lit(True))
+    both = target.withColumn("_late", F.lit(False)).unionByName(fitted)
+    touched = missing.groupBy(*keys).agg(F.min(stamp).alias("_low"), F.max(stamp).alias("_high"))
+    rows = join_null_safe(both, touched, keys, "inner")
+    others = join_null_safe(target, touched.select(*keys), keys, "left_anti")
+    stamps = rows.groupBy(*keys, stamp).agg(F.bool_or("_late").alias("_late_next"))
+    following = (
+        OrderedRows.of(stamps, keys, [stamp])
+        .next([stamp, "_late_next"], "_after")
+        .rows()
+        .select(*keys, stamp, "_after")
+    )
+    placed = join_null_safe(rows, following, [*keys, stamp], "left")
+    after, is_latest = F.col("_after")[stamp], F.col(table.is_latest)
+    at_once = F.when(F.coalesce(F.col("_after")["_late_next"], F.lit(False)), after)
+    passed = F.when(
+        is_latest & (F.col(stamp) < F.col("_high")),
+        F.when(F.col("_low") > F.col(stamp), F.col("_low")).otherwise(F.col("_high")),
+    )
+    closing = F.when(F.col("_late"), after).otherwise(F.coalesce(at_once, passed))
+    changes = {
+        table.is_latest: F.when(F.col("_late"), after.isNull()).otherwise(is_latest & closing.isNull())
+    }
+    if table.end_date:
+        changes[table.end_date] = F.when(F.col("_late"), closing).otherwise(
+            F.least(F.col(table.end_date), closing)
+        )
+    return others.unionByName(placed.withColumns(changes).select(*target.columns))
+
+
 def full_history(
     rows: DataFrame, table: Scd2Table, max_group_rows: int | None = None
 ) -> DataFrame:
@@ -200,9 +245,9 @@ def backfill(
     keys = list(table.keys)
     touched = late.select(*keys).distinct()
     content = [c for c in source.columns if c in target.columns]
-    again = target.join(touched, keys, "left_semi").select(*content)
+    again = join_null_safe(target, touched, keys, "left_semi").select(*content)
     known = source.where(F.col(table.last_modified).isNotNull())
-    known = known.join(touched, keys, "left_semi").select(*content)
+    known = join_null_safe(known, touched, keys, "left_semi").select(*content)
     rebuilt = full_history(again.unionByName(known), table, max_group_rows)
-    others = target.join(touched, keys, "left_anti")
-    return others.unionByName(rebuilt.select(*target.columns))
+    others = join_null_safe(target, touched, keys, "left_anti")
+    return others.unionByName(in_schema(rebuilt, target.schema))

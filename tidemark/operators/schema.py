@@ -134,3 +134,52 @@ def same_schema(left: DataFrame, right: DataFrame) -> bool:
     return [(f.name, f.dataType) for f in left.schema] == [
         (f.name, f.dataType) for f in right.schema
     ]
+
+
+# A file with the type on the left is read as the type on the right without loss.
+WIDER = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"),
+    ("smallint", "int"), ("smallint", "bigint"), ("int", "bigint"), ("float", "double"),
+}
+
+
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of the old type is one of the new type."""
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        whole = new.precision - new.scale >= old.precision - old.scale
+        return whole and new.scale >= old.scale
+    return (old.simpleString(), new.simpleString()) in WIDER
+
+
+def type_conflicts(published: T.StructType, new: T.StructType) -> list[Issue]:
+    """Columns whose new type is neither the published one nor wider, as (column, rule, detail)."""
+    have = {f.name: f.dataType for f in published}
+    return [
+        (f.name, "type", f"{have[f.name].simpleString()} became {f.dataType.simpleString()}")
+        for f in new
+        if f.name in have and have[f.name] != f.dataType and not widens(have[f.name], f.dataType)
+    ]
+
+
+def merged_schema(published: T.StructType, new: T.StructType) -> T.StructType:
+    """The published columns in their order, in the wider type, and the new ones after them.
+
+    The last column stays last: partition columns stand there.
+    """
+    types = {f.name: f.dataType for f in new}
+    fields = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in published]
+    names = {f.name for f in published}
+    added = [T.StructField(f.name, f.dataType) for f in new if f.name not in names]
+    if published.names and new.names and published.names[-1] == new.names[-1]:
+        return T.StructType([*fields[:-1], *added, fields[-1]])
+    return T.StructType([*fields, *added])
+
+
+def in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """df in the columns and types of a schema; columns it lacks are null."""
+    return df.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )

@@ -16,6 +16,7 @@ from tidemark.functions.canonical import fingerprint, row_digest, row_number60,
 from tidemark.operators.ordered import join_null_safe
 
 INSERT, UPDATE, DELETE, SAME = "insert", "update", "delete", "unchanged"
+LINEAGE = ("_load_id", "_table_hash")
 
 
 def with_row_hash(
@@ -27,7 +28,7 @@ def with_row_hash(
 
 def with_lineage(df: DataFrame, load_id: str, content: str) -> DataFrame:
     """Adds the id of the load and the fingerprint of the whole table."""
-    return df.withColumns({"_load_id": F.lit(load_id), "_table_hash": F.lit(content)})
+    return df.withColumns(dict(zip(LINEAGE, (F.lit(load_id), F.lit(content)), strict=True)))
 
 
 def _tagged(
@@ -95,8 +96,15 @@ def upsert(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def sync_with_deletes(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The upsert without the rows the source no longer has."""
-    return source.select(*target.columns)
+    """The upsert without the rows the source no longer has.
+
+    A row that stays keeps what only the target knows of it.
+    """
+    own = [c for c in target.columns if c not in source.columns]
+    if not own:
+        return source.select(*target.columns)
+    known = join_null_safe(source, target.select(*keys, *own), list(keys), "left")
+    return known.select(*target.columns)
 
 
 def load_decisions(

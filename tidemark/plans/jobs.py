@@ -29,16 +29,23 @@ from tidemark.config import (
 from tidemark.functions.canonical import table_fingerprint
 from tidemark.operators import partitions, scd2, scd2_checks, static, watermark
 from tidemark.operators.ordered import join_null_safe
-from tidemark.operators.schema import quarantine, require_error_rate
+from tidemark.operators.schema import (
+    in_schema,
+    merged_schema,
+    quarantine,
+    require_error_rate,
+    type_conflicts,
+)
 from tidemark.sinks.store import APPEND, REPLACE, CheckFailed, Store
-from tidemark.sources.tables import only, rows_above, rows_after, typed_lit
+from tidemark.sources.tables import only, rows_above, rows_from, typed_lit
 
 RUN_LOG = (
     "run_id string, table_name string, table_type string, success boolean, error string, "
     "reason string, total_records bigint, duration_seconds double, finished_at timestamp_ntz"
 )
 DATA, CURRENT, HISTORY = "data", "current", "history"
-EXTRACT, PLANNED = "extract", "planned"
+EXTRACT, PLANNED, UNPLACED = "extract", "planned", "unplaced"
+BUCKET = "_bucket"
 Outcome = tuple[str, int]
 
 
@@ -69,6 +76,31 @@ def once_per_id(load):
     return guarded
 
 
+def set_aside(
+    store: Store, table: TableConfig, rows: DataFrame, load_id: str, now: dt.datetime
+) -> int:
+    """Keep rows that a load cannot place, as they came, under ``<table>.rejected``.
+
+    The part ``unplaced`` holds those of the newest load that met any.
+    """
+    name = f"{table.table}.rejected"
+    if store.published(name, load_id) is not None:
+        return 0
+    written = store.write(rows, name, UNPLACED, load_id, REPLACE)
+    if written.records:
+        store.publish(name, table.kind, [written], now, "without_value")
+    return written.records
+
+
+def _evolved(name: str, have: DataFrame, rows: DataFrame) -> DataFrame:
+    """Published rows with the new columns and wider types of the source; anything else a
+    source may change stops the load before it writes."""
+    issues = type_conflicts(have.schema, rows.schema)
+    if issues:
+        raise CheckFailed(f"{name}: the schema of the source does not fit: {issues}")
+    return in_schema(have, merged_schema(have.schema, rows.schema))
+
+
 # ---- sources that arrive as text --------------------------------------------
 
 
@@ -105,22 +137,19 @@ def _load_partitions(
     reason: str,
     scope: DataFrame | None = None,
 ) -> Outcome:
-    """Stage, check, archive, switch. Published values in ``scope`` that the load does not
-    bring are archived and removed."""
+    """Stage, check, switch, publish. Published values in ``scope`` that the load does not
+    bring are removed; earlier manifests still name them."""
     column = table.partition_column
     staged = store.stage(rows, table.table, column, load_id)
-    gone, folders = None, []
+    gone = None
     if scope is not None:
-        brought = store.staged(table.table, staged).select(column)
+        brought = store.staged(table.table, staged).select(column).distinct()
         gone = scope.select(column).distinct().join(brought, column, "left_anti")
-        folders = store.partition_folders(table.table, column, gone)
-    if not staged.records and not folders:
+    if not staged.records and (gone is None or gone.isEmpty()):
         return _nothing("no_new_partitions")
     store.check_staged(table.table, column, staged, values)
-    store.archive(table.table, column, staged, gone)
-    store.switch(table.table, column, staged)
-    store.remove_folders(folders)
-    store.publish(table.table, table.kind, [staged], now, reason)
+    switched = store.switch(table.table, column, staged, gone)
+    store.publish(table.table, table.kind, [switched], now, reason)
     return reason, staged.records
 
 
@@ -134,12 +163,15 @@ def load_partition_table(
 ) -> Outcome:
     """Load the partition values the target lacks, and changed ones if asked to.
 
-    The first load takes the last ``initial_load_count`` values, or all.
+    The first load takes the last ``initial_load_count`` values, or all. Rows without a
+    partition value are set aside.
     """
     column = table.partition_column
-    rows = only(source, table.where).where(F.col(column).isNotNull())
-    have = store.partitions(table.table)
+    rows = only(source, table.where)
     load_id, now = load_id or new_load_id(), now or utc_now()
+    set_aside(store, table, rows.where(F.col(column).isNull()), load_id, now)
+    rows = rows.where(F.col(column).isNotNull())
+    have = store.partitions(table.table)
     if have is None:
         if table.initial_load_count is not None:
             rows = partitions.last_n_partitions(rows, column, table.initial_load_count)
@@ -207,13 +239,29 @@ def copy_missing_partitions(
 
 def versioned_rows(store: Store, table: Scd2Table) -> DataFrame | None:
     """All published versions: superseded history and current rows."""
-    current = store.read(table.table, CURRENT)
+    current = current_rows(store, table)
     if current is None:
         return None
     history = store.read(table.table, HISTORY)
     return current if history is None else history.unionByName(current)
 
 
+def _bucketed(rows: DataFrame, table: Scd2Table) -> DataFrame:
+    """rows with the bucket of their key as the last column."""
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*table.keys), F.lit(table.buckets)).cast("int"))
+
+
+def current_rows(
+    store: Store, table: Scd2Table, batch: DataFrame | None = None
+) -> DataFrame | None:
+    """The published current versions, of bucketed tables only those in the buckets of a batch."""
+    if not table.buckets:
+        return store.read(table.table, CURRENT)
+    touched = None if batch is None else _bucketed(batch, table).select(BUCKET).distinct()
+    rows = store.partitions(table.table, CURRENT, touched)
+    return None if rows is None else rows.drop(BUCKET)
+
+
 def _first_versions(rows: DataFrame, table: Scd2Table) -> DataFrame:
     if table.mode == "full_history":
         return scd2.full_history(rows, table)
@@ -237,15 +285,32 @@ def _publish_versions(
     reason: str,
     last_value: str | None,
 ) -> None:
-    """Write the current slice anew and add to, or replace, the history."""
+    """Write the current slice anew and add to, or replace, the history.
+
+    Of a bucketed table only the buckets that ``after`` has rows of are written; where it
+    replaces the history it holds the whole table, and other buckets are empty.
+    """
     name, is_latest = table.table, F.col(table.is_latest)
     history = store.write(after.where(~is_latest), name, HISTORY, load_id, history_mode)
-    current = store.write(after.where(is_latest), name, CURRENT, load_id, REPLACE)
+    latest = after.where(is_latest)
+    if table.buckets:
+        current = store.stage(_bucketed(latest, table), name, BUCKET, load_id, CURRENT)
+        store.check_staged(name, BUCKET, current)
+        rows = store.staged(name, current)
+    else:
+        current = store.write(latest, name, CURRENT, load_id, REPLACE)
+        rows = store.read_load(name, current)
     # rows appended as they come may leave several current rows by design
     if table.mode != "append":
-        broken = scd2_checks.multiple_latest(store.read_load(name, current), table)
+        broken = scd2_checks.multiple_latest(rows, table)
         if not broken.isEmpty():
             raise CheckFailed(f"{name}: a key has several current rows")
+    if table.buckets:
+        gone = None
+        known = store.snapshot(name, CURRENT)
+        if history_mode == REPLACE and known is not None:
+            gone = known.select(F.col("value").alias(BUCKET)).join(rows.select(BUCKET).distinct(), BUCKET, "left_anti")
+        current = store.switch(name, BUCKET, current, gone)
     slices = [replace(w, last_value=last_value) for w in (history, current)]
     store.publish(name, table.kind, slices, now, reason)
 
@@ -260,15 +325,16 @@ def load_scd2_table(
 ) -> Outcome:
     """Extract source changes above the published mark and apply them.
 
-    The current slice is rewritten; superseded versions are only added to the history,
-    so the cost of a run does not grow with the length of the history. Source rows that
-    turn up below the mark are a matter for ``backfill_scd2_table``.
+    The current slice, or the buckets of it that the changes touch, is rewritten; superseded
+    versions are only added to the history, so the cost of a run does not grow with the
+    length of the history. Source rows that turn up below the mark are a matter for
+    ``backfill_scd2_table``.
     """
     name, mark = table.table, table.last_modified
     rows = only(source, table.where)
     load_id, now = load_id or new_load_id(), now or utc_now()
-    current = store.read(name, CURRENT)
-    if current is None:
+    first = store.schema(name, CURRENT) is None
+    if first:
         if table.initial_load_days is not None:
             rows = watermark.last_n_days(rows, mark, table.initial_load_days)
     else:
@@ -279,9 +345,9 @@ def load_scd2_table(
         rows, name, EXTRACT, load_id, REPLACE, mark, required=[*table.keys, mark]
     )
     if not extract.records:
-        return _nothing("no_data_in_source" if current is None else "no_new_records")
+        return _nothing("no_data_in_source" if first else "no_new_records")
     batch = store.read_load(name, extract)
-    if current is None:
+    if first:
         after, mode, reason = _first_versions(batch, table), REPLACE, "initial_load"
     else:
         # Every batch row is above the mark, so nothing falls between older versions and
@@ -292,6 +358,7 @@ def load_scd2_table(
             "append": scd2.append_and_expire,
             "full_history": scd2.backfill,
         }[table.mode]
+        current = _evolved(name, current_rows(store, table, batch), batch)
         after, mode, reason = apply(batch, current, table), APPEND, "incremental_update"
     _publish_versions(store, table, after, mode, load_id, now, reason, extract.last_value)
     return reason, extract.records
@@ -310,7 +377,8 @@ def backfill_scd2_table(
     """Fit source changes in ``(low, high]`` into the published history.
 
     All source rows of the touched keys up to the published mark are read again: a late
-    row may part a version from repeats that were folded into it.
+    row may part a version from repeats that were folded into it. In mode "append" stored
+    rows stay as they are and the late ones they lack are added.
     """
     target = versioned_rows(store, table)
     if target is None:
@@ -319,7 +387,19 @@ def backfill_scd2_table(
     # a backfill never moves the mark
     mark = store.state(table.table)["last_value"]
     rows, stamp = only(source, table.where), table.last_modified
+    target = _evolved(table.table, target, rows)
     late = scd2.changed_since(rows, table, low, high)
+    if table.mode == "append":
+        extract = store.write(
+            late, table.table, EXTRACT, load_id, REPLACE, stamp, required=[*table.keys, stamp]
+        )
+        if not extract.records:
+            return _nothing("no_data_in_source")
+        known = store.read_load(table.table, extract)
+        published = F.col(stamp) <= F.lit(mark).cast(rows.schema[stamp].dataType)
+        after = scd2.backfill_appended(known.where(published), target, table)
+        _publish_versions(store, table, after, REPLACE, load_id, now or utc_now(), "backfill", mark)
+        return "backfill", extract.records
     touched = late.select(*table.keys).distinct()
     outside = F.lit(False)
     if low is not None:
@@ -401,19 +481,20 @@ def load_static_table(
         return _nothing("empty_source")
     content = decision["fingerprint"]
     have = store.read(table.table, DATA)
-    result = rows
+    result, columns = rows, rows.columns
     if table.load_strategy == "upsert":
         if not rows.groupBy(*table.primary_keys).count().where("count > 1").isEmpty():
             raise CheckFailed(f"{table.table}: the source repeats a primary key")
         if have is not None:
-            known = have.select(*rows.columns)
+            own = have.drop(*static.LINEAGE) if table.lineage else have
+            known = _evolved(table.table, own, rows)
             step = static.sync_with_deletes if table.allow_deletes else static.upsert
-            result = step(rows, known, table.primary_keys)
+            result = step(in_schema(rows, known.schema), known, table.primary_keys)
     whole = table.load_strategy == "replace" or table.allow_deletes or have is None
     stored = static.with_lineage(result, load_id, content) if table.lineage else result
     written = store.write(
         stored, table.table, DATA, load_id, REPLACE,
-        content=rows.columns, algorithm=table.hash_algorithm, required=table.primary_keys,
+        content=columns, algorithm=table.hash_algorithm, required=table.primary_keys,
     )
     if whole and written.content != content:
         raise CheckFailed(f"{table.table}: the source changed while it was copied")
@@ -445,19 +526,34 @@ def load_append_table(
     load_id: str | None = None,
     now: dt.datetime | None = None,
 ) -> Outcome:
-    """Append source rows above the highest published value."""
-    rows = only(source, table.where)
+    """Append source rows above the highest published value.
+
+    The mark comes from the load log, not from a scan of the table. With ``keys``, rows at the
+    mark, up to ``overlap`` below it or without a value come too if no published row there
+    has their key; only that stretch of the table is read. Without keys, rows that have no
+    value are set aside.
+    """
+    rows, column = only(source, table.where), table.watermark_column
+    load_id, now = load_id or new_load_id(), now or utc_now()
+    mark = store.mark(table.table, DATA, rows.schema[column].dataType)
     have = store.read(table.table, DATA)
-    reason = "incremental_update"
-    if have is None:
-        have, reason = rows.where(F.lit(False)), "initial_load"
-    fresh = rows_after(rows, have, table.watermark_column)
-    written = store.write(
-        fresh, table.table, DATA, load_id or new_load_id(), APPEND, table.watermark_column
-    )
+    reason = "initial_load" if have is None else "incremental_update"
+    unmarked = F.col(column).isNull()
+    if not table.keys:
+        set_aside(store, table, rows.where(unmarked), load_id, now)
+        fresh = rows.where(~unmarked) if mark is None else rows_above(rows, column, mark)
+    else:
+        near = rows if mark is None else rows_from(rows, column, mark, table.overlap).unionByName(rows.where(unmarked))
+        fresh = near.dropDuplicates(list(table.keys))
+        if have is not None:
+            known = have
+            if mark is not None:
+                known = rows_from(have, column, mark, table.overlap).unionByName(have.where(unmarked))
+            fresh = join_null_safe(fresh, known.select(*table.keys), table.keys, "left_anti")
+    written = store.write(fresh, table.table, DATA, load_id, APPEND, column)
     if not written.records:
         return _nothing("no_new_records")
-    store.publish(table.table, table.kind, [written], now or utc_now(), reason)
+    store.publish(table.table, table.kind, [written], now, reason)
     return reason, written.records
 
 
@@ -521,7 +617,7 @@ def status(
     ``n_pending`` counts rows above the mark, for partition tables the partition values
     not loaded yet, and for reference tables all rows if their content has changed.
     """
-    waiting = []
+    waiting = [store.spark.createDataFrame([], "table_name string, table_type string, n_pending bigint")]
     for table in tables:
         rows = only(sources[table.table](store.spark), table.where)
         state = store.state(table.table)

@@ -2,14 +2,18 @@
 
 Plain Parquet cannot update rows, and overwriting a path that the same plan reads loses
 data. So a load writes into folders of its own and becomes visible with one appended row
-set in the load log; a crash before that leaves nothing a reader sees, and running the
-load again writes the same folders. Partitions are replaced in place, after staging,
-checks and an archive copy.
-
-    <root>/_loads                                  the load log, append only
-    <root>/<table>/<part>/load_id=<id>             rows of one load
-    <root>/<table>/partitions/<column>=<value>     partitions replaced in place
-    <root>/<table>/staging|archive/load_id=<id>    partitions before and after a replace
+set in the load log. Before that nothing of it is seen, and a load that is run again after
+a failure writes its folders anew. Folders of a published load are never written again.
+
+Partitioned parts have a manifest with every load: which folder holds each partition. A
+load writes its own partitions and a manifest that takes over the other ones, so replacing,
+removing and rolling back partitions moves no rows, and a reader keeps the snapshot it began
+with until ``expire`` removes what newer manifests no longer name.
+
+    <root>/_loads                                        the load log, append only
+    <root>/<table>/<part>/load_id=<folder>               rows of one load
+    <root>/<table>/<part>/tidemark_load=<folder>/<column>=<value>   partitions of one load
+    <root>/<table>/manifests/<part>/<folder>             all partitions after one load
 """
 
 from __future__ import annotations
@@ -17,7 +21,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -27,15 +32,17 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions.canonical import fingerprint, row_number60
-from tidemark.operators.schema import same_schema
+from tidemark.operators.schema import in_schema, merged_schema, type_conflicts
 
 LOADS = (
     "table_name string, table_type string, part string, mode string, load_id string, "
     "updated_at timestamp_ntz, reason string, records bigint, last_value string, "
-    "last_hash string, schema_json string"
+    "last_hash string, schema_json string, folder string, base string, undoes string"
 )
 PARTITIONS = "partitions"
-APPEND, REPLACE = "append", "replace"
+APPEND, REPLACE, SWITCH, UNDO = "append", "replace", "switch", "undo"
+#: The directory level that names the load of a partition folder.
+LOAD_KEY = "tidemark_load"
 
 
 class CheckFailed(RuntimeError):
@@ -53,6 +60,12 @@ class Written:
     last_value: str | None
     content: str | None
     schema_json: str
+    folder: str
+    base: str | None = None
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema_json))
 
 
 def _observed(seen: Observation, df: DataFrame) -> dict:
@@ -88,19 +101,27 @@ class Store:
 
     # ---- the load log -------------------------------------------------------
 
-    def loads(self, table: str | None = None) -> DataFrame:
-        """Rows of the load log, each load once even if it was published twice."""
+    def _log(self, table: str | None = None) -> DataFrame:
+        """Every row ever logged, each load once even if it was published twice."""
         schema = T.StructType.fromDDL(LOADS)
         rows = self._read_if_there(self.path("_loads"), schema)
         if rows is None:
             return self.spark.createDataFrame([], schema)
         if table is not None:
             rows = rows.where(F.col("table_name") == table)
-        return rows.dropDuplicates(["table_name", "part", "load_id"])
+        return rows.dropDuplicates(["table_name", "part", "folder"])
+
+    def loads(self, table: str | None = None) -> DataFrame:
+        """Rows of the load log without loads that were undone."""
+        log = self._log(table)
+        undone = log.where("undoes is not null").select(
+            "table_name", F.col("undoes").alias("folder")
+        ).distinct()
+        return log.where(F.col("mode") != UNDO).join(undone, ["table_name", "folder"], "left_anti")
 
     def state(self, table: str):
         """The newest log row of a table, or None."""
-        newest = self.loads(table).orderBy(F.desc("updated_at"), F.desc("load_id"), "part")
+        newest = self.loads(table).orderBy(F.desc("updated_at"), F.desc("folder"), "part")
         return newest.limit(1).first()
 
     def published(self, table: str, load_id: str) -> tuple[str, int] | None:
@@ -109,12 +130,18 @@ class Store:
         found = rows.agg(F.min("reason").alias("reason"), F.sum("records").alias("records")).first()
         return None if found["records"] is None else (found["reason"] or "", found["records"])
 
-    def _refuse_published(self, table: str, load_id: str) -> None:
-        """Folders of a published load are never written again."""
-        log = self._read_if_there(self.path("_loads"), T.StructType.fromDDL(LOADS))
-        same = (F.col("table_name") == table) & (F.col("load_id") == load_id)
-        if log is not None and not log.where(same).isEmpty():
+    def _folder(self, table: str, load_id: str) -> str:
+        """The folder of a load that is about to be written.
+
+        A load that was undone may be run again: it gets a folder of its own, since readers
+        may still hold the former one.
+        """
+        log = self._log(table).select("load_id", "folder", "undoes")
+        rows = log.where((F.col("load_id") == load_id) | F.col("undoes").isNotNull()).collect()
+        before = {r["folder"] for r in rows if r["load_id"] == load_id}
+        if before - {r["undoes"] for r in rows}:
             raise CheckFailed(f"{table}: load {load_id} is published already")
+        return f"{load_id}.{len(before)}" if before else load_id
 
     def publish(
         self,
@@ -124,6 +151,7 @@ class Store:
         now: dt.datetime,
         reason: str,
         last_hash: str | None = None,
+        undoes: str | None = None,
     ) -> None:
         """Make the parts of one load visible together."""
         rows = [
@@ -139,12 +167,58 @@ class Store:
                 w.last_value,
                 last_hash,
                 w.schema_json,
+                w.folder,
+                w.base,
+                undoes,
             )
             for w in written
         ]
         log = self.spark.createDataFrame(rows, LOADS).coalesce(1)
         log.write.mode("append").parquet(self.path("_loads"))
 
+    def undo(self, table: str, load_id: str, now: dt.datetime) -> None:
+        """Take back the newest load of a table whose parts are written load by load.
+
+        What it replaced is visible again, and its id may be used again. An older load
+        cannot be taken back: newer ones were made from its rows.
+        """
+        rows = self.loads(table)
+        own = rows.where(F.col("load_id") == load_id)
+        found = own.orderBy("part").first()
+        if found is None:
+            raise ValueError(f"{table} has no published load {load_id}")
+        if self.state(table)["folder"] != found["folder"]:
+            raise CheckFailed(f"{table}: load {load_id} is not the newest one")
+        row = Written(found["part"], UNDO, f"undo-{found['folder']}", 0, None, None, found["schema_json"], f"undo-{found['folder']}")
+        self.publish(table, found["table_type"], [row], now, "rolled_back", undoes=found["folder"])
+
+    def mark(self, table: str, part: str, kind: T.DataType) -> str | None:
+        """The highest published mark of a part, compared as values of a type."""
+        rows = self.loads(table).where((F.col("part") == part) & F.col("last_value").isNotNull())
+        high = rows.agg(F.max(F.col("last_value").cast(kind)).cast("string").alias("high")).first()
+        return high["high"]
+
+    def schema(self, table: str, part: str) -> T.StructType | None:
+        """The schema of the newest load of a part, None before the first."""
+        rows = self.loads(table).where(F.col("part") == part)
+        newest = rows.orderBy(F.desc("updated_at"), F.desc("folder")).limit(1).first()
+        return None if newest is None else T.StructType.fromJson(json.loads(newest["schema_json"]))
+
+    def fitted(self, df: DataFrame, table: str, part: str) -> DataFrame:
+        """df with the columns and types of the published part, and its own new columns.
+
+        New columns and wider types are taken over, also for the rows that are published:
+        columns that older files lack are null. Any other change of type fails here, before
+        a file is written that the published schema could not read.
+        """
+        have = self.schema(table, part)
+        if have is None:
+            return df
+        issues = type_conflicts(have, df.schema)
+        if issues:
+            raise CheckFailed(f"{table}: the schema does not fit the published one: {issues}")
+        return in_schema(df, merged_schema(have, df.schema))
+
     # ---- parts written load by load ----------------------------------------
 
     def write(
@@ -164,7 +238,8 @@ class Store:
         Counts the rows, the highest ``mark`` value and the fingerprint of the ``content``
         columns on the way. A null in a ``required`` column fails the load.
         """
-        self._refuse_published(table, load_id)
+        folder = self._folder(table, load_id)
+        df = self.fitted(df, table, part)
         seen = Observation()
         watched = df
         metrics = [F.count(F.lit(1)).alias("records")]
@@ -176,7 +251,7 @@ class Store:
         for name in required:
             metrics.append(F.count_if(F.col(name).isNull()).alias(f"null {name}"))
         observed = watched.observe(seen, *metrics).select(*df.columns)
-        self._write(observed, self.path(table, part, f"load_id={load_id}"))
+        self._write(observed, self.path(table, part, f"load_id={folder}"))
         found = _observed(seen, df)
         empty = {c: n for c in required if (n := found.get(f"null {c}"))}
         if empty:
@@ -189,150 +264,249 @@ class Store:
             found.get("last_value"),
             found.get("content"),
             df.schema.json(),
+            folder,
         )
 
     def read_load(self, table: str, written: Written) -> DataFrame:
         """The rows of one write, published or not."""
-        schema = T.StructType.fromJson(json.loads(written.schema_json))
-        folder = self.path(table, written.part, f"load_id={written.load_id}")
-        return self.spark.read.schema(schema).parquet(folder)
+        folder = self.path(table, written.part, f"load_id={written.folder}")
+        return self.spark.read.schema(written.schema).parquet(folder)
 
     def read(self, table: str, part: str) -> DataFrame | None:
         """Visible rows of a part: the newest replacing load and the appends since."""
-        since = Window.partitionBy("table_name").orderBy("updated_at", "load_id")
+        since = Window.partitionBy("table_name").orderBy("updated_at", "folder")
         resets = F.sum(F.when(F.col("mode") == REPLACE, 1).otherwise(0)).over(since)
         log = self.loads(table).where(F.col("part") == part).withColumn("_epoch", resets)
         newest = log.agg(F.max("_epoch").alias("n")).first()["n"]
         if newest is None:
             return None
         # one row per load: names of folders, not data
-        visible = log.where(F.col("_epoch") == newest).orderBy("updated_at", "load_id").collect()
+        visible = log.where(F.col("_epoch") == newest).orderBy("updated_at", "folder").collect()
         schema = T.StructType.fromJson(json.loads(visible[-1]["schema_json"]))
-        folders = [self.path(table, part, f"load_id={row['load_id']}") for row in visible]
+        folders = [self.path(table, part, f"load_id={row['folder']}") for row in visible]
         return self.spark.read.schema(schema).parquet(*folders)
 
-    # ---- partitions replaced in place ---------------------------------------
+    # ---- partitions under a manifest ----------------------------------------
+
+    def _newest(self, table: str, part: str):
+        rows = self.loads(table).where((F.col("part") == part) & (F.col("mode") == SWITCH))
+        return rows.orderBy(F.desc("updated_at"), F.desc("folder")).limit(1).first()
 
-    def partitions(self, table: str) -> DataFrame | None:
-        """All partitions of a table, or None before its first load."""
-        row = self.loads(table).where(F.col("part") == PARTITIONS).orderBy(
-            F.desc("updated_at"), F.desc("load_id")
-        ).limit(1).first()
+    def _manifest(self, table: str, part: str, folder: str, schema: T.StructType) -> DataFrame:
+        entries = T.StructType(
+            [T.StructField("value", schema.fields[-1].dataType)]
+            + T.StructType.fromDDL("folder string, load string, records bigint").fields
+        )
+        return self.spark.read.schema(entries).parquet(self.path(table, "manifests", part, folder))
+
+    def snapshot(self, table: str, part: str = PARTITIONS) -> DataFrame | None:
+        """value, folder, load, records of each published partition; None before the first load."""
+        row = self._newest(table, part)
+        if row is None:
+            return None
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        return self._manifest(table, part, row["folder"], schema)
+
+    def partitions(
+        self, table: str, part: str = PARTITIONS, values: DataFrame | None = None
+    ) -> DataFrame | None:
+        """The published partitions, or those of the given values; None before the first load.
+
+        The result is a snapshot: later loads write elsewhere.
+        """
+        row = self._newest(table, part)
         if row is None:
             return None
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        return self.spark.read.schema(schema).parquet(self.path(table, PARTITIONS))
+        entries = self._manifest(table, part, row["folder"], schema)
+        if values is not None:
+            entries = entries.join(values.toDF("value"), "value", "left_semi")
+        return self._read_entries(table, part, entries, schema)
+
+    def _read_entries(
+        self, table: str, part: str, entries: DataFrame, schema: T.StructType
+    ) -> DataFrame:
+        # names of folders, which Spark lists on the driver anyway
+        folders = sorted(row["folder"] for row in entries.select("folder").distinct().collect())
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self._read_folders(table, part, folders, schema).drop(LOAD_KEY)
 
-    def stage(self, df: DataFrame, table: str, column: str, load_id: str) -> Written:
-        """Write partitions aside. Large ones are spread over several tasks and files."""
-        self._refuse_published(table, load_id)
-        ordered = df.select(*[c for c in df.columns if c != column], column)
+    def _read_folders(
+        self, table: str, part: str, folders: Sequence[str], schema: T.StructType
+    ) -> DataFrame:
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table, part))
+        return reader.parquet(*[self.path(table, part, f) for f in folders])
+
+    def stage(
+        self, df: DataFrame, table: str, column: str, load_id: str, part: str = PARTITIONS
+    ) -> Written:
+        """Write partitions where only their load will name them. Large ones are spread over
+        several tasks and files."""
+        folder = self._folder(table, load_id)
+        ordered = self.fitted(df.select(*[c for c in df.columns if c != column], column), table, part)
         seen = Observation()
         observed = ordered.observe(
             seen, F.count(F.lit(1)).alias("records"), F.max(column).cast("string").alias("high")
         )
         spread = observed.hint("rebalance", F.col(column))
-        self._write(spread, self.path(table, "staging", f"load_id={load_id}"), column)
+        self._write(spread, self.path(table, part, f"{LOAD_KEY}={folder}"), column)
         found = _observed(seen, df)
         return Written(
-            PARTITIONS,
-            APPEND,
+            part,
+            SWITCH,
             load_id,
             found["records"],
             found.get("high"),
             None,
             ordered.schema.json(),
+            folder,
         )
 
     def staged(self, table: str, staged: Written) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(staged.schema_json))
-        folder = self.path(table, "staging", f"load_id={staged.load_id}")
-        return self.spark.read.schema(schema).parquet(folder)
+        """The rows of a load that is staged, published or not."""
+        folder = f"{LOAD_KEY}={staged.folder}"
+        return self._read_folders(table, staged.part, [folder], staged.schema).drop(LOAD_KEY)
+
+    def _entries(self, table: str, staged: Written) -> DataFrame:
+        """The manifest rows of a staged load, from its files: only their footers are read."""
+        rows = self._read_folders(table, staged.part, [f"{LOAD_KEY}={staged.folder}"], staged.schema)
+        # a path is written with escapes, of which a plus is none
+        path = F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)/[^/]*$", 1)
+        folder = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+        column = staged.schema.names[-1]
+        return (
+            rows.select(F.col(column).alias("value"), folder.alias("folder"))
+            .groupBy("value", "folder")
+            .agg(F.count(F.lit(1)).alias("records"))
+            .select("value", "folder", F.lit(staged.folder).alias("load"), "records")
+        )
 
     def check_staged(
         self, table: str, column: str, staged: Written, inside: DataFrame | None = None
     ) -> None:
-        """Row count, schema, null values and, if given, the values allowed in ``inside``."""
-        rows = self.staged(table, staged)
-        found = rows.agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("nulls")
+        """Row count, null values and, if given, the values allowed in ``inside``.
+
+        The schema was checked before the rows were written.
+        """
+        entries = self._entries(table, staged)
+        found = entries.agg(
+            F.coalesce(F.sum("records"), F.lit(0)).alias("n"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("records"))), F.lit(0)).alias("nulls"),
         ).first()
         if found["n"] != staged.records:
             raise CheckFailed(f"{table}: staged {found['n']} of {staged.records} rows")
         if found["nulls"]:
             raise CheckFailed(f"{table}: {found['nulls']} staged rows without {column}")
-        have = self.partitions(table)
-        if have is not None and not same_schema(rows, have):
-            raise CheckFailed(f"{table}: staged schema differs from the published one")
         if inside is not None:
-            outside = rows.select(column).distinct().join(inside, column, "left_anti")
+            outside = entries.join(inside.select(F.col(column).alias("value")), "value", "left_anti")
             if not outside.isEmpty():
                 raise CheckFailed(f"{table}: staged rows outside the partitions to load")
 
-    def archive(
+    def switch(
         self, table: str, column: str, staged: Written, gone: DataFrame | None = None
+    ) -> Written:
+        """The manifest with the staged partitions in the place of the published ones and
+        without the values in ``gone``; ``publish`` makes it the newest. No rows move."""
+        entries = self._entries(table, staged)
+        row = self._newest(table, staged.part)
+        if row is not None:
+            before = self._manifest(table, staged.part, row["folder"], staged.schema)
+            before = before.join(entries.select("value"), "value", "left_anti")
+            if gone is not None:
+                before = before.join(gone.select(F.col(column).alias("value")), "value", "left_anti")
+            entries = entries.unionByName(before)
+        self._write(entries.coalesce(1), self.path(table, "manifests", staged.part, staged.folder))
+        return replace(staged, base=row["folder"] if row is not None else None)
+
+    def replaced(self, table: str, load_id: str, part: str = PARTITIONS) -> DataFrame | None:
+        """The rows that a published load replaced or removed: its archive."""
+        row = self._logged(table, part, load_id)
+        if row["base"] is None:
+            return None
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        after = self._manifest(table, part, row["folder"], schema)
+        before = self._manifest(table, part, row["base"], schema)
+        return self._read_entries(table, part, before.join(after, "folder", "left_anti"), schema)
+
+    def _logged(self, table: str, part: str, load_id: str):
+        rows = self.loads(table).where((F.col("part") == part) & (F.col("load_id") == load_id))
+        row = rows.limit(1).first()
+        if row is None:
+            raise ValueError(f"{table} has no published load {load_id}")
+        return row
+
+    def roll_back(
+        self, table: str, column: str, load_id: str, now: dt.datetime | None = None, part: str = PARTITIONS
     ) -> None:
-        """Copy the published partitions that the staged ones are about to replace, and
-        those of the values in ``gone``."""
-        have = self.partitions(table)
-        if have is None:
-            return
-        values = self.staged(table, staged).select(column)
-        values = (values if gone is None else values.union(gone.select(column))).distinct()
-        replaced = have.join(values, column, "left_semi")
-        folder = self.path(table, "archive", f"load_id={staged.load_id}")
-        self._write(replaced.select(*have.columns), folder, column)
+        """Undo a load: partitions it replaced or removed return, partitions it added go.
 
-    def switch(self, table: str, column: str, staged: Written) -> None:
-        """Put the staged partitions in the place of the published ones; others stay."""
-        self._replace(self.staged(table, staged), table, column)
+        Partitions that a later load has replaced stay as that load left them. The undoing
+        is one row of the log, and the id may be loaded again.
+        """
+        row, newest = self._logged(table, part, load_id), self._newest(table, part)
+        schema = T.StructType.fromJson(json.loads(newest["schema_json"]))
+        after = self._manifest(table, part, row["folder"], schema)
+        kept = self._manifest(table, part, newest["folder"], schema).where(F.col("load") != row["folder"])
+        entries = kept
+        if row["base"] is not None:
+            before = self._manifest(table, part, row["base"], schema)
+            touched = before.join(after, "folder", "left_anti")
+            entries = kept.unionByName(touched.join(kept.select("value"), "value", "left_anti"))
+        folder = f"undo-{row['folder']}"
+        self._write(entries.coalesce(1), self.path(table, "manifests", part, folder))
+        left = self._manifest(table, part, folder, schema)
+        found = left.agg(F.sum("records").alias("n"), F.max("value").cast("string").alias("high")).first()
+        moment = now or max(newest["updated_at"], row["updated_at"]) + dt.timedelta(microseconds=1)
+        undone = Written(
+            part, SWITCH, folder, found["n"] or 0, found["high"], None, newest["schema_json"], folder, newest["folder"]
+        )
+        self.publish(table, row["table_type"], [undone], moment, "rolled_back", undoes=row["folder"])
 
-    def partition_folders(self, table: str, column: str, values: DataFrame) -> list[str]:
-        """Folders of the published partitions with the given values: names, not data.
+    def expire(self, table: str, keep: int, part: str = PARTITIONS) -> int:
+        """Delete partition folders that the newest ``keep`` manifests do not name, and give
+        their number. Readers and roll-backs that need older manifests fail afterwards.
 
-        They are taken from the files themselves, so however a value is written in a path.
+        Folders of loads that are not published yet are left alone.
         """
-        have = self.partitions(table)
-        if have is None:
-            return []
-        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)
-        placed = have.select(column, folder.alias("folder")).distinct()
-        found = placed.join(values, column, "left_semi").select("folder").distinct()
-        return sorted(row["folder"] for row in found.collect())
-
-    def remove_folders(self, folders: Sequence[str]) -> None:
-        """Delete folders of partitions, each a metadata change; readers list what is left."""
+        if keep < 1:
+            raise ValueError("the newest manifest has to stay")
+        log = self._log(table).where((F.col("part") == part) & (F.col("mode") == SWITCH))
+        # one row a load: names of manifests, not data
+        rows = log.orderBy(F.desc("updated_at"), F.desc("folder")).collect()
+        effective = [r["folder"] for r in self.loads(table).where((F.col("part") == part) & (F.col("mode") == SWITCH)).orderBy(F.desc("updated_at"), F.desc("folder")).limit(keep).collect()]
+        if not rows:
+            return 0
+        schema = T.StructType.fromJson(json.loads(rows[0]["schema_json"]))
+        named = [self._manifest(table, part, f, schema).select("folder") for f in effective]
+        stay = reduce(DataFrame.union, named)
+        known = [
+            m.select("folder")
+            for r in rows
+            if (m := self._manifest_if_there(table, part, r["folder"], schema)) is not None
+        ]
+        dead = reduce(DataFrame.union, known).distinct().join(stay, "folder", "left_anti").collect()
+        for row in dead:
+            self._delete(self.path(table, part, row["folder"]))
+        for r in rows:
+            if r["folder"] not in effective:
+                self._delete(self.path(table, "manifests", part, r["folder"]))
+        return len(dead)
+
+    def _manifest_if_there(
+        self, table: str, part: str, folder: str, schema: T.StructType
+    ) -> DataFrame | None:
+        try:
+            return self._manifest(table, part, folder, schema)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _delete(self, folder: str) -> None:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in folders:
-            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-            path.getFileSystem(conf).delete(path, True)
-
-    def roll_back(self, table: str, column: str, load_id: str) -> None:
-        """Undo a switch: archived partitions return, partitions it added go."""
-        staging = self.path(table, "staging", f"load_id={load_id}")
-        archive = self.path(table, "archive", f"load_id={load_id}")
-        have = self.partitions(table)
-        if have is None:
-            raise ValueError(f"{table} has no published partitions")
-        added = self.spark.read.schema(have.schema).parquet(staging).select(column).distinct()
-        archived = self._read_if_there(archive, have.schema)
-        if archived is not None:
-            added = added.join(archived.select(column).distinct(), column, "left_anti")
-        folders = self.partition_folders(table, column, added)
-        if archived is not None:
-            self._replace(archived, table, column)
-        self.remove_folders(folders)
-
-    def _replace(self, rows: DataFrame, table: str, column: str) -> None:
-        # the rows come from folders that are laid out by partition value already, so they
-        # are copied file by file, without a shuffle
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**self.file_options)
-            .partitionBy(column)
-            .parquet(self.path(table, PARTITIONS))
-        )
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
     def _write(self, df: DataFrame, path: str, column: str | None = None) -> None:
         writer = (

@@ -88,6 +88,19 @@ def rows_above(
     return df.where(F.col(column) > low)
 
 
+def rows_from(df: DataFrame, column: str, mark: str, overlap: float | None = None) -> DataFrame:
+    """Rows at or above a mark that was recorded as text, or ``overlap`` below it.
+
+    The overlap is seconds for times and a number for other columns.
+    """
+    kind = df.schema[column].dataType
+    low = F.lit(mark).cast(kind)
+    if overlap is not None:
+        timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+        low = low - (F.make_dt_interval(secs=F.lit(overlap)) if timed else F.lit(overlap).cast(kind))
+    return df.where(F.col(column) >= low)
+
+
 def rows_after(source: DataFrame, target: DataFrame, column: str, overlap: Column | None = None):
     """Source rows above the highest value of the target; all of them if it has none.
 
