@@ -580,10 +580,12 @@ def run(
     names: Iterable[str] | None = None,
     run_id: str | None = None,
     now: dt.datetime | None = None,
+    before: Callable[[Store, TableConfig], object] | None = None,
 ) -> DataFrame:
     """Load the chosen tables, reference tables first; returns the run's log rows.
 
-    A table that fails is logged with its error and does not stop the others.
+    A table that fails is logged with its error and does not stop the others. ``before`` is
+    called ahead of each load; ``recovery.recover`` there brings log and files in line.
     """
     run_id = run_id or new_load_id()
     rows = []
@@ -592,6 +594,8 @@ def run(
         reason, records, error = None, 0, None
         try:
             source = sources[table.table](store.spark)
+            if before is not None:
+                before(store, table)
             load_id = f"{run_id}-{table.table}"
             reason, records = load_table(store, table, source, load_id=load_id, now=now)
         except Exception as failure:

@@ -335,7 +335,9 @@ class Store:
     def _read_folders(
         self, table: str, part: str, folders: Sequence[str], schema: T.StructType
     ) -> DataFrame:
-        reader = self.spark.read.schema(schema).option("basePath", self.path(table, part))
+        # the name of a load is text, also if it looks like a number
+        named = T.StructType([*schema.fields, T.StructField(LOAD_KEY, T.StringType())])
+        reader = self.spark.read.schema(named).option("basePath", self.path(table, part))
         return reader.parquet(*[self.path(table, part, f) for f in folders])
 
     def stage(
@@ -370,16 +372,24 @@ class Store:
 
     def _entries(self, table: str, staged: Written) -> DataFrame:
         """The manifest rows of a staged load, from its files: only their footers are read."""
-        rows = self._read_folders(table, staged.part, [f"{LOAD_KEY}={staged.folder}"], staged.schema)
+        return self.stored_entries(table, staged.part, [staged.folder], staged.schema)
+
+    def stored_entries(
+        self, table: str, part: str, loads: Sequence[str], schema: T.StructType
+    ) -> DataFrame:
+        """value, folder, load, records of the partitions that the files of some loads hold."""
+        if not loads:
+            kind = schema.fields[-1].dataType.simpleString()
+            return self.spark.createDataFrame([], f"value {kind}, folder string, load string, records bigint")
+        rows = self._read_folders(table, part, [f"{LOAD_KEY}={x}" for x in loads], schema)
         # a path is written with escapes, of which a plus is none
         path = F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)/[^/]*$", 1)
         folder = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-        column = staged.schema.names[-1]
+        load = F.col(LOAD_KEY).cast("string").alias("load")
         return (
-            rows.select(F.col(column).alias("value"), folder.alias("folder"))
-            .groupBy("value", "folder")
+            rows.select(F.col(schema.names[-1]).alias("value"), folder.alias("folder"), load)
+            .groupBy("value", "folder", "load")
             .agg(F.count(F.lit(1)).alias("records"))
-            .select("value", "folder", F.lit(staged.folder).alias("load"), "records")
         )
 
     def check_staged(
@@ -463,6 +473,45 @@ class Store:
         )
         self.publish(table, row["table_type"], [undone], moment, "rolled_back", undoes=row["folder"])
 
+    def drop_entries(
+        self, table: str, lost: DataFrame, load_id: str, table_type: str, now: dt.datetime, part: str = PARTITIONS
+    ) -> None:
+        """Publish a manifest without some of the entries of the newest one."""
+        row = self._newest(table, part)
+        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        entries = self._manifest(table, part, row["folder"], schema)
+        left = entries.join(lost.select("folder"), "folder", "left_anti").select(*entries.columns)
+        self._write(left.coalesce(1), self.path(table, "manifests", part, load_id))
+        high = self._manifest(table, part, load_id, schema).agg(F.max("value").cast("string")).first()[0]
+        made = Written(part, SWITCH, load_id, 0, high, None, row["schema_json"], load_id, row["folder"])
+        self.publish(table, table_type, [made], now, "lost_partitions")
+
+    def logged_folders(self, table: str, part: str) -> list:
+        """Folders of a part that the log names, also those of loads that were undone."""
+        return self._log(table).where(F.col("part") == part).select("folder").distinct().collect()
+
+    def enter(
+        self,
+        table: str,
+        table_type: str,
+        part: str,
+        folder: str,
+        records: int,
+        mark: str,
+        schema: T.StructType,
+        now: dt.datetime,
+    ) -> None:
+        """Log a load whose files are there but whose log row is lost.
+
+        It is dated before all logged loads, so the newest one stays the newest.
+        """
+        rows = self.spark.read.schema(schema).parquet(self.path(table, part, f"load_id={folder}"))
+        high = rows.agg(F.max(mark).cast("string")).first()[0]
+        first = self.loads(table).agg(F.min("updated_at").alias("at")).first()["at"]
+        found = Written(part, APPEND, folder, records, high, None, schema.json(), folder)
+        moment = first - dt.timedelta(microseconds=1) if first else now
+        self.publish(table, table_type, [found], moment, "entered_again")
+
     def expire(self, table: str, keep: int, part: str = PARTITIONS) -> int:
         """Delete partition folders that the newest ``keep`` manifests do not name, and give
         their number. Readers and roll-backs that need older manifests fail afterwards.
