@@ -139,13 +139,9 @@ def _recover_partitions(store: Store, table: PartitionTable, now: dt.datetime) -
     return lost
 
 
-def _loads_in_order(store: Store, name: str) -> list:
-    return store.loads(name).orderBy("updated_at", "folder", "part").collect()
-
-
 def _first_broken(store: Store, table: TableConfig) -> str | None:
     """The folder of the oldest needed load that lacks files."""
-    rows = _loads_in_order(store, table.table)
+    rows = store.log_rows(table.table)
     order = {r["folder"]: i for i, r in reversed(list(enumerate(rows)))}
     broken = []
     for part in (DATA, HISTORY, CURRENT):
@@ -164,7 +160,7 @@ def _first_broken(store: Store, table: TableConfig) -> str | None:
 def _take_back(store: Store, table: TableConfig, now: dt.datetime) -> list[tuple[str, str]]:
     done = []
     while (folder := _first_broken(store, table)) is not None:
-        rows = _loads_in_order(store, table.table)
+        rows = store.log_rows(table.table)
         loads = list(dict.fromkeys((r["folder"], r["load_id"]) for r in rows))
         start = next(i for i, (f, _) in enumerate(loads) if f == folder)
         for _, load_id in reversed(loads[start:]):

@@ -26,10 +26,9 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tidemark.functions.canonical import fingerprint, row_number60
 from tidemark.operators.schema import in_schema, merged_schema, type_conflicts
@@ -102,33 +101,54 @@ class Store:
     # ---- the load log -------------------------------------------------------
 
     def _log(self, table: str | None = None) -> DataFrame:
-        """Every row ever logged, each load once even if it was published twice."""
+        """Every row ever logged."""
         schema = T.StructType.fromDDL(LOADS)
         rows = self._read_if_there(self.path("_loads"), schema)
         if rows is None:
             return self.spark.createDataFrame([], schema)
-        if table is not None:
-            rows = rows.where(F.col("table_name") == table)
-        return rows.dropDuplicates(["table_name", "part", "folder"])
+        return rows if table is None else rows.where(F.col("table_name") == table)
 
     def loads(self, table: str | None = None) -> DataFrame:
-        """Rows of the load log without loads that were undone."""
-        log = self._log(table)
+        """Rows of the load log without loads that were undone, each load once even if it was
+        published twice."""
+        log = self._log(table).dropDuplicates(["table_name", "part", "folder"])
         undone = log.where("undoes is not null").select(
             "table_name", F.col("undoes").alias("folder")
         ).distinct()
         return log.where(F.col("mode") != UNDO).join(undone, ["table_name", "folder"], "left_anti")
 
-    def state(self, table: str):
+    def log_rows(self, table: str) -> list[Row]:
+        """What ``loads`` has of one table, oldest first: a row for each load and part.
+
+        These are names and counts of loads. One scan of the log without a shuffle answers
+        every question about a table, which DataFrame steps would each ask anew.
+        """
+        schema = T.StructType.fromDDL(LOADS)
+        log = self._read_if_there(self.path("_loads"), schema)
+        rows = [] if log is None else log.where(F.col("table_name") == table).collect()
+        rows.sort(key=lambda r: (r["updated_at"], r["folder"], r["part"]))
+        undone = {r["undoes"] for r in rows if r["undoes"] is not None}
+        known = {
+            (r["part"], r["folder"]): r
+            for r in reversed(rows)
+            if r["mode"] != UNDO and r["folder"] not in undone
+        }
+        return list(known.values())[::-1]
+
+    def state(self, table: str) -> Row | None:
         """The newest log row of a table, or None."""
-        newest = self.loads(table).orderBy(F.desc("updated_at"), F.desc("folder"), "part")
-        return newest.limit(1).first()
+        rows = self.log_rows(table)
+        if not rows:
+            return None
+        newest = (rows[-1]["updated_at"], rows[-1]["folder"])
+        return next(r for r in rows if (r["updated_at"], r["folder"]) == newest)
 
     def published(self, table: str, load_id: str) -> tuple[str, int] | None:
         """Reason and rows of a published load; None if no such load is published."""
-        rows = self.loads(table).where(F.col("load_id") == load_id)
-        found = rows.agg(F.min("reason").alias("reason"), F.sum("records").alias("records")).first()
-        return None if found["records"] is None else (found["reason"] or "", found["records"])
+        rows = [r for r in self.log_rows(table) if r["load_id"] == load_id]
+        if not rows:
+            return None
+        return min(r["reason"] or "" for r in rows), sum(r["records"] for r in rows)
 
     def _folder(self, table: str, load_id: str) -> str:
         """The folder of a load that is about to be written.
@@ -182,27 +202,27 @@ class Store:
         What it replaced is visible again, and its id may be used again. An older load
         cannot be taken back: newer ones were made from its rows.
         """
-        rows = self.loads(table)
-        own = rows.where(F.col("load_id") == load_id)
-        found = own.orderBy("part").first()
+        rows = self.log_rows(table)
+        found = next((r for r in rows if r["load_id"] == load_id), None)
         if found is None:
             raise ValueError(f"{table} has no published load {load_id}")
-        if self.state(table)["folder"] != found["folder"]:
+        if rows[-1]["folder"] != found["folder"]:
             raise CheckFailed(f"{table}: load {load_id} is not the newest one")
         row = Written(found["part"], UNDO, f"undo-{found['folder']}", 0, None, None, found["schema_json"], f"undo-{found['folder']}")
         self.publish(table, found["table_type"], [row], now, "rolled_back", undoes=found["folder"])
 
     def mark(self, table: str, part: str, kind: T.DataType) -> str | None:
         """The highest published mark of a part, compared as values of a type."""
-        rows = self.loads(table).where((F.col("part") == part) & F.col("last_value").isNotNull())
-        high = rows.agg(F.max(F.col("last_value").cast(kind)).cast("string").alias("high")).first()
-        return high["high"]
+        values = [(r["last_value"],) for r in self.log_rows(table) if r["part"] == part and r["last_value"] is not None]
+        if not values:
+            return None
+        marks = self.spark.createDataFrame(values, "v string")
+        return marks.agg(F.max(F.col("v").cast(kind)).cast("string")).first()[0]
 
     def schema(self, table: str, part: str) -> T.StructType | None:
         """The schema of the newest load of a part, None before the first."""
-        rows = self.loads(table).where(F.col("part") == part)
-        newest = rows.orderBy(F.desc("updated_at"), F.desc("folder")).limit(1).first()
-        return None if newest is None else T.StructType.fromJson(json.loads(newest["schema_json"]))
+        rows = [r for r in self.log_rows(table) if r["part"] == part]
+        return T.StructType.fromJson(json.loads(rows[-1]["schema_json"])) if rows else None
 
     def fitted(self, df: DataFrame, table: str, part: str) -> DataFrame:
         """df with the columns and types of the published part, and its own new columns.
@@ -274,14 +294,10 @@ class Store:
 
     def read(self, table: str, part: str) -> DataFrame | None:
         """Visible rows of a part: the newest replacing load and the appends since."""
-        since = Window.partitionBy("table_name").orderBy("updated_at", "folder")
-        resets = F.sum(F.when(F.col("mode") == REPLACE, 1).otherwise(0)).over(since)
-        log = self.loads(table).where(F.col("part") == part).withColumn("_epoch", resets)
-        newest = log.agg(F.max("_epoch").alias("n")).first()["n"]
-        if newest is None:
+        rows = [r for r in self.log_rows(table) if r["part"] == part]
+        if not rows:
             return None
-        # one row per load: names of folders, not data
-        visible = log.where(F.col("_epoch") == newest).orderBy("updated_at", "folder").collect()
+        visible = rows[max((i for i, r in enumerate(rows) if r["mode"] == REPLACE), default=0) :]
         schema = T.StructType.fromJson(json.loads(visible[-1]["schema_json"]))
         folders = [self.path(table, part, f"load_id={row['folder']}") for row in visible]
         return self.spark.read.schema(schema).parquet(*folders)
@@ -289,8 +305,11 @@ class Store:
     # ---- partitions under a manifest ----------------------------------------
 
     def _newest(self, table: str, part: str):
-        rows = self.loads(table).where((F.col("part") == part) & (F.col("mode") == SWITCH))
-        return rows.orderBy(F.desc("updated_at"), F.desc("folder")).limit(1).first()
+        rows = self._switches(table, part)
+        return rows[-1] if rows else None
+
+    def _switches(self, table: str, part: str) -> list[Row]:
+        return [r for r in self.log_rows(table) if r["part"] == part and r["mode"] == SWITCH]
 
     def _manifest(self, table: str, part: str, folder: str, schema: T.StructType) -> DataFrame:
         entries = T.StructType(
@@ -440,8 +459,7 @@ class Store:
         return self._read_entries(table, part, before.join(after, "folder", "left_anti"), schema)
 
     def _logged(self, table: str, part: str, load_id: str):
-        rows = self.loads(table).where((F.col("part") == part) & (F.col("load_id") == load_id))
-        row = rows.limit(1).first()
+        row = next((r for r in self._switches(table, part) if r["load_id"] == load_id), None)
         if row is None:
             raise ValueError(f"{table} has no published load {load_id}")
         return row
@@ -507,7 +525,8 @@ class Store:
         """
         rows = self.spark.read.schema(schema).parquet(self.path(table, part, f"load_id={folder}"))
         high = rows.agg(F.max(mark).cast("string")).first()[0]
-        first = self.loads(table).agg(F.min("updated_at").alias("at")).first()["at"]
+        rows_known = self.log_rows(table)
+        first = rows_known[0]["updated_at"] if rows_known else None
         found = Written(part, APPEND, folder, records, high, None, schema.json(), folder)
         moment = first - dt.timedelta(microseconds=1) if first else now
         self.publish(table, table_type, [found], moment, "entered_again")
@@ -520,10 +539,10 @@ class Store:
         """
         if keep < 1:
             raise ValueError("the newest manifest has to stay")
-        log = self._log(table).where((F.col("part") == part) & (F.col("mode") == SWITCH))
         # one row a load: names of manifests, not data
+        log = self._log(table).where((F.col("part") == part) & (F.col("mode") == SWITCH))
         rows = log.orderBy(F.desc("updated_at"), F.desc("folder")).collect()
-        effective = [r["folder"] for r in self.loads(table).where((F.col("part") == part) & (F.col("mode") == SWITCH)).orderBy(F.desc("updated_at"), F.desc("folder")).limit(keep).collect()]
+        effective = [r["folder"] for r in self._switches(table, part)[-keep:]]
         if not rows:
             return 0
         schema = T.StructType.fromJson(json.loads(rows[0]["schema_json"]))
