@@ -319,6 +319,30 @@ FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVIN
   UNION ALL SELECT 'o_custkey,o_orderdate', count(*), count(DISTINCT (o_custkey, o_orderdate)) FROM orders
   UNION ALL SELECT 'o_orderkey,o_orderstatus', count(*), count(DISTINCT (o_orderkey, o_orderstatus)) FROM orders)
 WHERE n_rows = d""".replace("SELECT * FROM (", "SELECT key_columns, n_rows FROM (", 1),
+    ),
+    "column_profile": Case(
+        lambda spark, sf: quality.column_profile(load(spark, sf, "orders"), 3000),
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS key_columns, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_values,
+  CAST(coalesce(sum(n) FILTER (v IS NULL), 0) AS BIGINT) AS n_nulls, max(n) AS largest,
+  count(*) = sum(n) AND bool_and(v IS NOT NULL) AS is_key,
+  bool_and(v IS NOT NULL) AND count(*) BETWEEN 2 AND 3000 AS can_partition
+FROM (SELECT {c} AS v, count(*) AS n FROM orders GROUP BY 1)"""
+            for c in "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+        ),
+    ),
+    "unique_column_sets": Case(
+        lambda spark, sf: quality.unique_column_sets(
+            load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+        ),
+        """WITH pairs AS (
+  SELECT 'l_orderkey,l_linenumber' AS key_columns, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS d FROM lineitem
+  UNION ALL SELECT 'l_orderkey,l_returnflag', count(*), count(DISTINCT (l_orderkey, l_returnflag)) FROM lineitem
+  UNION ALL SELECT 'l_orderkey,l_partkey', count(*), count(DISTINCT (l_orderkey, l_partkey)) FROM lineitem
+  UNION ALL SELECT 'l_linenumber,l_returnflag', count(*), count(DISTINCT (l_linenumber, l_returnflag)) FROM lineitem
+  UNION ALL SELECT 'l_linenumber,l_partkey', count(*), count(DISTINCT (l_linenumber, l_partkey)) FROM lineitem
+  UNION ALL SELECT 'l_returnflag,l_partkey', count(*), count(DISTINCT (l_returnflag, l_partkey)) FROM lineitem)
+SELECT key_columns, n_rows FROM pairs WHERE n_rows = d""",
     ),
     "partition_candidates": Case(
         lambda spark, sf: quality.partition_candidates(load(spark, sf, "orders"), 3000),

@@ -65,16 +65,20 @@ class OrderedRows:
         order: Sequence[str],
         unique_on: Sequence[str] = (),
         max_rows: int | None = None,
+        counts: DataFrame | None = None,
     ) -> OrderedRows:
         """Choose between whole keys and slices by an exact count per key.
 
+        ``counts`` (the keys and ``_rows``) saves counting where the caller knows them.
+
         With ``unique_on``, only the last row of each (keys, unique_on) stays.
         Slice numbers are checkpointed: the cuts come from a sample and must not move
         when a task is run again or the rows are read twice.
         """
         spark = df.sparkSession
         limit = max_rows or max_group_rows(spark)
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        if counts is None:
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         hot = counts.where(F.col("_rows") > limit)
         found = hot.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("keys")).first()
         if not found["keys"]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations as combinations_of
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +14,6 @@ from pyspark.sql import types as T
 from tidemark.config import PartitionTable, Scd2Table, StaticTable, TableConfig
 from tidemark.sources.tables import only
 
-# Share of distinct values, by estimate, from which a column is worth an exact check: six
-# standard errors of the estimate below one, so a true key does not miss the list.
-_ESTIMATE_ERROR = 0.05
-KEY_SHORTLIST = 1 - 6 * _ESTIMATE_ERROR
-
 
 def row_count(df: DataFrame, where: str | None = None) -> DataFrame:
     """One row, ``n_rows``, optionally of the rows that meet a condition."""
@@ -47,11 +44,8 @@ def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _estimates(df: DataFrame, columns: Sequence[str]):
-    return df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.approx_count_distinct(c, _ESTIMATE_ERROR).alias(c) for c in columns],
-    ).first()
+# Columns of one pass: each row is expanded once for every set of columns.
+_COLUMNS_A_PASS = 32
 
 
 def _comparable(df: DataFrame) -> list[str]:
@@ -59,58 +53,109 @@ def _comparable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, kinds)]
 
 
-def key_candidates(df: DataFrame, combinations: Sequence[Sequence[str]] = ()) -> DataFrame:
-    """Columns, and given combinations, whose values are all present and all different.
+def _passes(sets: Sequence[Sequence[str]]) -> list[list[tuple[str, ...]]]:
+    """Sets of columns, so many together that they have no more than _COLUMNS_A_PASS columns."""
+    out: list[list[tuple[str, ...]]] = []
+    for one in dict.fromkeys(tuple(s) for s in sets):
+        if not out or len({*(c for s in out[-1] for c in s), *one}) > _COLUMNS_A_PASS:
+            out.append([])
+        out[-1].append(one)
+    return out
+
 
-    One scan estimates the distinct values of every column; only columns that look like
-    keys are checked exactly, each by an aggregate over that column alone.
+def set_profile(df: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``key_columns, n_rows, n_values, n_nulls, largest, is_key`` of each set of columns.
+
+    n_values counts distinct combinations, n_nulls rows with a null in the set, largest the
+    rows of the most frequent combination. The sets are counted exactly and together by
+    grouping sets: one scan and one shuffle for up to 32 columns, in which frequent values
+    are summed up before the shuffle. A set is a key if all its values are present and
+    different.
     """
-    names = _comparable(df)
-    estimated = _estimates(df, names)
-    likely = [[c] for c in names if estimated[c] >= KEY_SHORTLIST * estimated["_rows"]]
-    checks = []
-    for columns in [*likely, *[list(c) for c in combinations]]:
-        any_null = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-        checks.append(
-            df.groupBy(*columns)
-            .agg(F.count(F.lit(1)).alias("_n"))
+    found = []
+    for some in _passes(sets):
+        columns = list(dict.fromkeys(c for one in some for c in one))
+        # a bit of grouping_id is set for each column that is not in the set, the first highest
+        bits = {c: 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
+        names = {sum(b for c, b in bits.items() if c not in one): one for one in some}
+        any_null = F.lit(False)
+        for number, one in names.items():
+            null = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in one])
+            any_null = F.when(F.col("_set") == number, null).otherwise(any_null)
+        named = F.create_map(*[F.lit(x) for n, one in names.items() for x in (n, ",".join(one))])
+        values = df.groupingSets([[F.col(f"`{c}`") for c in one] for one in names.values()], *[F.col(f"`{c}`") for c in columns]).agg(
+            F.count(F.lit(1)).alias("_n"), F.grouping_id().cast("bigint").alias("_set")
+        )
+        found.append(
+            values.groupBy("_set")
             .agg(
-                F.lit(",".join(columns)).alias("key_columns"),
                 F.sum("_n").alias("n_rows"),
-                (~F.bool_or((F.col("_n") > 1) | any_null)).alias("_unique"),
+                F.count(F.lit(1)).alias("n_values"),
+                F.coalesce(F.sum(F.when(any_null, F.col("_n"))), F.lit(0)).alias("n_nulls"),
+                F.max("_n").alias("largest"),
+            )
+            .select(
+                named.cast("map<bigint,string>")[F.col("_set")].alias("key_columns"),
+                "n_rows",
+                "n_values",
+                "n_nulls",
+                "largest",
+                ((F.col("n_nulls") == 0) & (F.col("n_values") == F.col("n_rows"))).alias("is_key"),
             )
-            .where(F.col("_unique"))
-            .drop("_unique")
         )
-    if not checks:
-        return df.sparkSession.createDataFrame([], "key_columns string, n_rows bigint")
-    return reduce(DataFrame.unionByName, checks)
+    if not found:
+        return df.sparkSession.createDataFrame(
+            [], "key_columns string, n_rows bigint, n_values bigint, n_nulls bigint, largest bigint, is_key boolean"
+        )
+    return reduce(DataFrame.unionByName, found)
+
 
+def column_profile(df: DataFrame, max_values: int | None = None) -> DataFrame:
+    """``set_profile`` of every column that can be compared, with ``can_partition``.
+
+    A column can partition a table if it has no nulls, at least two values and, where given,
+    at most ``max_values``. Every column has its row; nothing is hidden.
+    """
+    few = F.lit(True) if max_values is None else F.col("n_values") <= max_values
+    can = (F.col("n_nulls") == 0) & (F.col("n_values") >= 2) & few
+    return set_profile(df, [[c] for c in _comparable(df)]).withColumn("can_partition", can)
 
-def partition_candidates(df: DataFrame, max_values: int = 20_000) -> DataFrame:
-    """Whole-number and date columns without nulls and with few enough values to split by."""
+
+def key_candidates(df: DataFrame, combinations: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Columns, and given combinations, whose values are all present and all different."""
+    sets = [*[[c] for c in _comparable(df)], *combinations]
+    return set_profile(df, sets).where("is_key").select("key_columns", "n_rows")
+
+
+def unique_column_sets(df: DataFrame, max_columns: int = 2) -> DataFrame:
+    """The smallest sets of up to ``max_columns`` columns that identify a row, with n_rows.
+
+    Sets grow by one column a pass. A set that holds a smaller key is left out, and so is one
+    whose columns have too few values between them to tell all rows apart.
+    """
+    profile = {r["key_columns"]: r for r in column_profile(df).collect()}
+    usable = [c for c, r in profile.items() if r["n_nulls"] == 0 and r["n_values"] > 1]
+    keys = [(c,) for c, r in profile.items() if r["is_key"]]
+    n_rows = max((r["n_rows"] for r in profile.values()), default=0)
+    for size in range(2, max_columns + 1):
+        sets = [
+            one
+            for one in combinations_of([c for c in usable if (c,) not in keys], size)
+            if not any(set(k) <= set(one) for k in keys)
+            and prod(profile[c]["n_values"] for c in one) >= n_rows
+        ]
+        found = set_profile(df, sets).where("is_key").select("key_columns").collect()
+        keys += [tuple(r["key_columns"].split(",")) for r in found]
+    rows = [(",".join(k), n_rows) for k in keys]
+    return df.sparkSession.createDataFrame(rows, "key_columns string, n_rows bigint")
+
+
+def partition_candidates(df: DataFrame, max_values: int | None = None) -> DataFrame:
+    """Whole-number and date columns that can partition a table, see ``column_profile``."""
     kinds = (T.IntegerType, T.LongType, T.DateType, T.TimestampNTZType, T.TimestampType)
     names = [f.name for f in df.schema if isinstance(f.dataType, kinds)]
-    estimated = _estimates(df, names)
-    likely = [c for c in names if estimated[c] <= max_values * (2 - KEY_SHORTLIST)]
-    checks = [
-        df.groupBy(c)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(
-            F.lit(c).alias("column_name"),
-            F.count(F.lit(1)).alias("n_values"),
-            F.max("_n").alias("largest"),
-            F.count_if(F.col(c).isNull()).alias("_nulls"),
-        )
-        .where((F.col("n_values").between(2, max_values)) & (F.col("_nulls") == 0))
-        .drop("_nulls")
-        for c in likely
-    ]
-    if not checks:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, n_values bigint, largest bigint"
-        )
-    return reduce(DataFrame.unionByName, checks)
+    found = column_profile(df.select(*names), max_values).where("can_partition")
+    return found.select(F.col("key_columns").alias("column_name"), "n_values", "largest")
 
 
 def _found(counts: DataFrame, table: str, rules: Sequence[tuple[str, str]]) -> DataFrame:

@@ -54,12 +54,18 @@ def violation_report(
     Up to ``piece`` stamps go into one row; ``piece_no`` numbers the rows of a key, so
     nothing is cut off and no task has to hold one key's whole list.
     """
-    flagged = rows.where(F.col(table.is_latest))
+    broken = multiple_latest(rows, table).withColumnRenamed("n_latest", "_rows")
+    # only rows of broken keys are put in order
+    flagged = join_null_safe(
+        rows.where(F.col(table.is_latest)), broken.select(*table.keys), table.keys, "left_semi"
+    )
     ordered, order = with_total_order(flagged, table)
     numbered = (
-        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows).positions("_pos").rows()
+        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows, counts=broken)
+        .positions("_pos")
+        .rows()
     )
-    listed = (
+    return (
         numbered.withColumn("piece_no", F.floor((F.col("_pos") - 1) / piece).cast("bigint") + 1)
         .groupBy(*table.keys, "piece_no")
         .agg(
@@ -73,16 +79,16 @@ def violation_report(
             ).alias("stamps"),
         )
     )
-    # the first piece alone holds fewer than two stamps exactly for the sound keys
-    return listed.where((F.col("piece_no") > 1) | (F.col("n_listed") > 1))
 
 
-def _superseded(rows: DataFrame, table: Scd2Table, max_group_rows: int | None) -> DataFrame:
+def _superseded(
+    rows: DataFrame, table: Scd2Table, max_group_rows: int | None, counts: DataFrame | None = None
+) -> DataFrame:
     """Rows with ``_after``: what follows in the key; null for one row of each key, also
     where rows are equal in every column."""
     ordered, order = with_total_order(rows, table)
     return (
-        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows)
+        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows, counts=counts)
         .next([table.last_modified], "_after")
         .rows()
     )
@@ -97,23 +103,28 @@ def repair(
     the current rows of keys that break the rule are put in order. A closed row without
     an end gets the modification stamp of the row that stays.
     """
-    flagged = rows.where(F.col(table.is_latest))
+    is_latest = F.coalesce(F.col(table.is_latest), F.lit(False))
     broken = (
-        flagged.groupBy(*table.keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max(table.last_modified).alias("_newest"))
-        .where(F.col("_n") > 1)
-        .drop("_n")
+        rows.where(is_latest)
+        .groupBy(*table.keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(table.last_modified).alias("_newest"))
+        .where(F.col("_rows") > 1)
+    )
+    # one join marks the rows of broken keys; all others pass
+    marked = join_null_safe(
+        rows, broken.select(*table.keys, "_newest", F.lit(True).alias("_broken")), table.keys, "left"
     )
-    sound = join_null_safe(flagged, broken.drop("_newest"), table.keys, "left_anti")
-    unsound = join_null_safe(flagged, broken, table.keys, "inner")
+    is_unsound = is_latest & F.coalesce(F.col("_broken"), F.lit(False))
+    unsound = marked.where(is_unsound).drop("_broken")
     loses = F.col("_after").isNotNull()
     changes = {table.is_latest: ~loses}
     if table.end_date:
         closed = F.coalesce(F.col(table.end_date), F.col("_newest"))
         changes[table.end_date] = F.when(loses, closed).otherwise(F.col(table.end_date))
-    repaired = _superseded(unsound, table, max_group_rows).withColumns(changes)
-    untouched = rows.where(~F.coalesce(F.col(table.is_latest), F.lit(False)))
-    return untouched.unionByName(sound).unionByName(repaired.select(*rows.columns))
+    counts = broken.select(*table.keys, "_rows")
+    repaired = _superseded(unsound, table, max_group_rows, counts).withColumns(changes)
+    passing = marked.where(~is_unsound).select(*rows.columns)
+    return passing.unionByName(repaired.select(*rows.columns))
 
 
 def repair_counts(rows: DataFrame, table: Scd2Table) -> DataFrame:
@@ -175,7 +186,7 @@ def history_gaps(
     start, end = table.effective_date, table.end_date
     ordered, order = with_total_order(rows, table)
     following = (
-        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows)
+        OrderedRows.of(ordered, table.keys, order, max_rows=max_group_rows, counts=counts)
         .next([start], "_after")
         .rows()
         .where(F.col("_after").isNotNull())
