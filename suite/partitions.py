@@ -265,6 +265,18 @@ FROM shipped GROUP BY cobid""",
         lambda spark, sf: partitions.partition_numbers(shipped(spark, sf), DAY, YEARS),
         with_ctes([SHIPPED, NUMBERED], "SELECT * FROM numbered"),
     ),
+    "partition_number_by_table": Case(
+        lambda spark, sf: partitions.partition_numbers_by(
+            shipped(spark, sf), DAY, shipped(spark, sf).where(F.col(DAY) % 100 == 1).select(DAY)
+        ),
+        with_ctes(
+            [SHIPPED],
+            """SELECT v.cobid, v.row_count, 1 + count(b.cobid) AS partition_number
+FROM (SELECT cobid, count(*) AS row_count FROM shipped GROUP BY cobid) v
+LEFT JOIN (SELECT DISTINCT cobid FROM shipped WHERE cobid % 100 = 1) b ON b.cobid <= v.cobid
+GROUP BY v.cobid, v.row_count""",
+        ),
+    ),
     "partitions_to_process": Case(
         lambda spark, sf: partitions.partitions_to_process(inventory(spark, sf), LAST),
         with_ctes(

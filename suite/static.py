@@ -6,6 +6,8 @@ large parts under old numbers. Per-table decisions take every brand as a table.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from suite.base import Case, load, with_ctes
@@ -136,6 +138,7 @@ FROM source"""
 
 CUSTOMER_TEXT = "concat_ws('|', CAST(o_custkey AS VARCHAR), o_orderstatus)"
 
+ORDER_COLUMNS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
 CASES: dict[str, Case] = {
     "table_checksum": Case(
         lambda spark, sf: canonical.table_fingerprint(orders(spark, sf), algorithm="checksum"), None
@@ -328,21 +331,24 @@ WHERE n_rows = d""".replace("SELECT * FROM (", "SELECT key_columns, n_rows FROM
   count(*) = sum(n) AND bool_and(v IS NOT NULL) AS is_key,
   bool_and(v IS NOT NULL) AND count(*) BETWEEN 2 AND 3000 AS can_partition
 FROM (SELECT {c} AS v, count(*) AS n FROM orders GROUP BY 1)"""
-            for c in "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+            for c in ORDER_COLUMNS
         ),
     ),
     "unique_column_sets": Case(
-        lambda spark, sf: quality.unique_column_sets(
-            load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
-        ),
-        """WITH pairs AS (
-  SELECT 'l_orderkey,l_linenumber' AS key_columns, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS d FROM lineitem
-  UNION ALL SELECT 'l_orderkey,l_returnflag', count(*), count(DISTINCT (l_orderkey, l_returnflag)) FROM lineitem
-  UNION ALL SELECT 'l_orderkey,l_partkey', count(*), count(DISTINCT (l_orderkey, l_partkey)) FROM lineitem
-  UNION ALL SELECT 'l_linenumber,l_returnflag', count(*), count(DISTINCT (l_linenumber, l_returnflag)) FROM lineitem
-  UNION ALL SELECT 'l_linenumber,l_partkey', count(*), count(DISTINCT (l_linenumber, l_partkey)) FROM lineitem
-  UNION ALL SELECT 'l_returnflag,l_partkey', count(*), count(DISTINCT (l_returnflag, l_partkey)) FROM lineitem)
-SELECT key_columns, n_rows FROM pairs WHERE n_rows = d""",
+        lambda spark, sf: quality.unique_column_sets(load(spark, sf, "orders")),
+        "WITH ones AS ("
+        + "\nUNION ALL ".join(
+            f"SELECT '{c}' AS a, count(*) AS n_rows, count(DISTINCT {c}) AS d FROM orders" for c in ORDER_COLUMNS
+        )
+        + "), pairs AS ("
+        + "\nUNION ALL ".join(
+            f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n_rows, count(DISTINCT ({a}, {b})) AS d FROM orders"
+            for a, b in combinations(ORDER_COLUMNS, 2)
+        )
+        + """)
+SELECT a AS key_columns, n_rows FROM ones WHERE n_rows = d
+UNION ALL SELECT a || ',' || b, n_rows FROM pairs p WHERE n_rows = d
+  AND NOT EXISTS (SELECT 1 FROM ones o WHERE o.n_rows = o.d AND o.a IN (p.a, p.b))""",
     ),
     "partition_candidates": Case(
         lambda spark, sf: quality.partition_candidates(load(spark, sf, "orders"), 3000),

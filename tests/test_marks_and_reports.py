@@ -209,3 +209,38 @@ def test_status(spark):
     assert rows(report.pipeline_status(states, pending, prints)) == [
         ("a", "5", 3, "consistent"), ("b", "7", None, "inconsistent"),
     ]
+
+
+def test_boundaries_of_a_table(spark):
+    from tidemark.operators import partitions
+
+    values = [(v,) for v in (None, -5, 0, 1, 10, 10, 11, 99_999, 200_000)]
+    df = spark.createDataFrame(values, "v int")
+    edges = spark.range(0, 100_000).select(F.col("id").cast("int").alias("edge"))
+    edges = edges.union(spark.createDataFrame([(0,), (None,)], "edge int"))
+    numbered = partitions.partition_numbers_by(df, "v", edges)
+    assert "100000" not in numbered._jdf.queryExecution().optimizedPlan().toString().replace("Range (0, 100000", "")
+    assert rows(numbered) == sorted(
+        [(None, 1, None), (-5, 1, 1), (0, 1, 2), (1, 1, 3), (10, 2, 12), (11, 1, 13), (99_999, 1, 100_001), (200_000, 1, 100_001)],
+        key=repr,
+    )
+    few = partitions.partition_numbers(df.where("v is not null"), "v", [0, 10])
+    same = partitions.partition_numbers_by(df.where("v is not null"), "v", spark.createDataFrame([(10,), (0,)], "b int"))
+    assert rows(same) == rows(few)
+
+
+def test_column_sets_that_identify_rows(spark):
+    from tidemark.operators import quality
+
+    data = [(i, i % 2, i // 2, None if i == 3 else str(i), "x") for i in range(8)]
+    df = spark.createDataFrame(data, "id int, a int, b int, n string, c string")
+    found = {r.key_columns: r for r in quality.column_profile(df, 4).collect()}
+    assert {k for k, r in found.items() if r.is_key} == {"id"} and len(found) == 5
+    assert {k for k, r in found.items() if r.can_partition} == {"a", "b"}
+    assert (found["n"].n_nulls, found["n"].n_values, found["c"].largest) == (1, 8, 8)
+    assert rows(quality.unique_column_sets(df)) == [("a,b", 8), ("id", 8)]
+    wide = df.select("*", *[F.lit(i).alias(f"w{i}") for i in range(40)])
+    assert quality.column_profile(wide).where("is_key").count() == 1
+    assert quality.column_profile(df.limit(0)).count() == 0
+    plan = quality.set_profile(df, [["id"], ["a", "b"]])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and plan.count("Exchange") == 2

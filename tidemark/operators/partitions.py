@@ -84,6 +84,28 @@ def partition_numbers(df: DataFrame, column: str, boundaries: Sequence) -> DataF
     return counts.withColumn("partition_number", range_partition_number(F.col(column), boundaries))
 
 
+def partition_numbers_by(df: DataFrame, column: str, boundaries: DataFrame) -> DataFrame:
+    """``partition_numbers`` for boundaries that are rows of a table (one column), however many.
+
+    Values and boundaries are put in order together; the place of a value less its place
+    among the values alone is the number of boundaries at or below it. Nulls and repeated
+    boundaries count for nothing.
+    """
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+    values = counts.where(F.col(column).isNotNull())
+    edges = boundaries.toDF(column).where(F.col(column).isNotNull()).distinct()
+    # a boundary comes before the value that equals it
+    both = edges.withColumn("_kind", F.lit(0)).unionByName(
+        values.select(column, F.lit(1).alias("_kind"))
+    )
+    places = OrderedRows.of(both, (), [column, "_kind"]).positions("_all").rows().where("_kind = 1")
+    own = OrderedRows.of(values, (), [column]).positions("_own").rows().drop("row_count")
+    numbers = places.join(own, column).select(
+        column, (F.col("_all") - F.col("_own") + 1).alias("partition_number")
+    )
+    return counts.join(numbers, column, "left").select(column, "row_count", "partition_number")
+
+
 def partition_inventory(df: DataFrame, column: str, boundaries: Sequence) -> DataFrame:
     """``partition_number, row_count, boundary_value`` of all range partitions.
 
