@@ -134,8 +134,8 @@ def unique_column_sets(df: DataFrame, max_columns: int = 2) -> DataFrame:
     whose columns have too few values between them to tell all rows apart.
     """
     profile = {r["key_columns"]: r for r in column_profile(df).collect()}
-    usable = [c for c, r in profile.items() if r["n_nulls"] == 0 and r["n_values"] > 1]
-    keys = [(c,) for c, r in profile.items() if r["is_key"]]
+    usable = [c for c in df.columns if c in profile and not profile[c]["n_nulls"] and profile[c]["n_values"] > 1]
+    keys = [(c,) for c in usable if profile[c]["is_key"]]
     n_rows = max((r["n_rows"] for r in profile.values()), default=0)
     for size in range(2, max_columns + 1):
         sets = [
