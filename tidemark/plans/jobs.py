@@ -143,7 +143,7 @@ def _load_partitions(
     staged = store.stage(rows, table.table, column, load_id)
     gone = None
     if scope is not None:
-        brought = store.staged(table.table, staged).select(column).distinct()
+        brought = store.staged_values(table.table, column, staged)
         gone = scope.select(column).distinct().join(brought, column, "left_anti")
     if not staged.records and (gone is None or gone.isEmpty()):
         return _nothing("no_new_partitions")
@@ -176,6 +176,7 @@ def load_partition_table(
         if table.initial_load_count is not None:
             rows = partitions.last_n_partitions(rows, column, table.initial_load_count)
         return _load_partitions(store, table, rows, None, load_id, now, "initial_load")
+    held = store.snapshot(table.table).select(F.col("value").alias(column))
     if table.replace_changed:
         values = (
             partitions.partition_load_strategy(rows, have, column, sorted(rows.columns))
@@ -183,10 +184,10 @@ def load_partition_table(
             .select(column)
         )
     else:
-        values = partitions.missing_partitions(rows, have, column)
+        values = partitions.missing_partitions(rows, held, column)
     if table.initial_load_count is not None:
         # what the first load left out on purpose is not a gap
-        first = have.agg(F.min(column).alias("low")).first()["low"]
+        first = held.agg(F.min(column).alias("low")).first()["low"]
         values = values.where(F.col(column) >= F.lit(first))
     # the decision is taken once: the source may grow while its rows are copied
     planned = store.write(values, table.table, PLANNED, load_id, REPLACE)
@@ -212,8 +213,11 @@ def backfill_partition_table(
     """
     column = table.partition_column
     rows = partitions.backfill_rows(only(source, table.where), column, low, high, values)
-    have = store.partitions(table.table)
-    scope = None if have is None else partitions.backfill_rows(have, column, low, high, values)
+    known = store.snapshot(table.table)
+    scope = None
+    if known is not None:
+        held = known.select(F.col("value").alias(column))
+        scope = partitions.backfill_rows(held, column, low, high, values)
     load_id, now = load_id or new_load_id(), now or utc_now()
     return _load_partitions(store, table, rows, None, load_id, now, "backfill", scope)
 
@@ -309,7 +313,8 @@ def _publish_versions(
         gone = None
         known = store.snapshot(name, CURRENT)
         if history_mode == REPLACE and known is not None:
-            gone = known.select(F.col("value").alias(BUCKET)).join(rows.select(BUCKET).distinct(), BUCKET, "left_anti")
+            brought = store.staged_values(name, BUCKET, current)
+            gone = known.select(F.col("value").alias(BUCKET)).join(brought, BUCKET, "left_anti")
         current = store.switch(name, BUCKET, current, gone)
     slices = [replace(w, last_value=last_value) for w in (history, current)]
     store.publish(name, table.kind, slices, now, reason)

@@ -14,6 +14,7 @@ with until ``expire`` removes what newer manifests no longer name.
     <root>/<table>/<part>/load_id=<folder>               rows of one load
     <root>/<table>/<part>/tidemark_load=<folder>/<column>=<value>   partitions of one load
     <root>/<table>/manifests/<part>/<folder>             all partitions after one load
+    <root>/<table>/manifests/<part>/<folder>.staged      the partitions of that load alone
 """
 
 from __future__ import annotations
@@ -373,7 +374,7 @@ class Store:
         spread = observed.hint("rebalance", F.col(column))
         self._write(spread, self.path(table, part, f"{LOAD_KEY}={folder}"), column)
         found = _observed(seen, df)
-        return Written(
+        staged = Written(
             part,
             SWITCH,
             load_id,
@@ -383,6 +384,14 @@ class Store:
             ordered.schema.json(),
             folder,
         )
+        # what the files hold is looked up once, for the checks and for the manifest
+        held = self.stored_entries(table, part, [folder], staged.schema)
+        self._write(held.coalesce(1), self.path(table, "manifests", part, f"{folder}.staged"))
+        return staged
+
+    def staged_values(self, table: str, column: str, staged: Written) -> DataFrame:
+        """The partition values that a staged load brings."""
+        return self._entries(table, staged).select(F.col("value").alias(column)).distinct()
 
     def staged(self, table: str, staged: Written) -> DataFrame:
         """The rows of a load that is staged, published or not."""
@@ -390,13 +399,14 @@ class Store:
         return self._read_folders(table, staged.part, [folder], staged.schema).drop(LOAD_KEY)
 
     def _entries(self, table: str, staged: Written) -> DataFrame:
-        """The manifest rows of a staged load, from its files: only their footers are read."""
-        return self.stored_entries(table, staged.part, [staged.folder], staged.schema)
+        """The manifest rows of a staged load."""
+        return self._manifest(table, staged.part, f"{staged.folder}.staged", staged.schema)
 
     def stored_entries(
         self, table: str, part: str, loads: Sequence[str], schema: T.StructType
     ) -> DataFrame:
-        """value, folder, load, records of the partitions that the files of some loads hold."""
+        """value, folder, load, records of the partitions that the files of some loads hold:
+        only their footers are read."""
         if not loads:
             kind = schema.fields[-1].dataType.simpleString()
             return self.spark.createDataFrame([], f"value {kind}, folder string, load string, records bigint")
@@ -559,6 +569,7 @@ class Store:
         for r in rows:
             if r["folder"] not in effective:
                 self._delete(self.path(table, "manifests", part, r["folder"]))
+                self._delete(self.path(table, "manifests", part, f"{r['folder']}.staged"))
         return len(dead)
 
     def _manifest_if_there(
