@@ -84,7 +84,7 @@ def set_aside(
     The part ``unplaced`` holds those of the newest load that met any.
     """
     name = f"{table.table}.rejected"
-    if store.published(name, load_id) is not None:
+    if not rows.agg(F.count(F.lit(1)).alias("n")).first()["n"] or store.published(name, load_id):
         return 0
     written = store.write(rows, name, UNPLACED, load_id, REPLACE)
     if written.records:

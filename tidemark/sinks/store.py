@@ -411,15 +411,14 @@ class Store:
             kind = schema.fields[-1].dataType.simpleString()
             return self.spark.createDataFrame([], f"value {kind}, folder string, load string, records bigint")
         rows = self._read_folders(table, part, [f"{LOAD_KEY}={x}" for x in loads], schema)
+        # value and load are constant in a file; the path is looked at once for each of them
+        held = rows.groupBy(F.col(schema.names[-1]).alias("value"), F.col(LOAD_KEY).alias("load")).agg(
+            F.count(F.lit(1)).alias("records"), F.any_value("_metadata.file_path").alias("path")
+        )
         # a path is written with escapes, of which a plus is none
-        path = F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)/[^/]*$", 1)
+        path = F.regexp_extract("path", "([^/]+/[^/]+)/[^/]*$", 1)
         folder = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-        load = F.col(LOAD_KEY).cast("string").alias("load")
-        return (
-            rows.select(F.col(schema.names[-1]).alias("value"), folder.alias("folder"), load)
-            .groupBy("value", "folder", "load")
-            .agg(F.count(F.lit(1)).alias("records"))
-        )
+        return held.select("value", folder.alias("folder"), "load", "records")
 
     def check_staged(
         self, table: str, column: str, staged: Written, inside: DataFrame | None = None
