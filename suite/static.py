@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from suite.base import Case, load, with_ctes
 from suite.partitions import CANONICAL, SOURCE, source as orders
 from tidemark.functions import canonical
-from tidemark.operators import quality, static
+from tidemark.operators import checksums, quality, static
 
 KEYS = ["p_partkey"]
 OLD_NUMBERS = 1_000_000_000
@@ -40,6 +40,18 @@ def visible(df):
     return df.withColumn("p_retailprice", F.col("p_retailprice").cast("string"))
 
 
+def altered_orders(spark, sf):
+    """Another copy of the orders: January 1998 has other states, some February orders are lost."""
+    df = orders(spark, sf)
+    january = F.col("cobid").between(19980101, 19980131) & (F.col("o_orderkey") % 3 == 0)
+    lost = F.col("cobid").between(19980201, 19980210) & (F.col("o_orderkey") % 5 == 0)
+    return df.withColumn("o_orderstatus", F.when(january, "X").otherwise(F.col("o_orderstatus"))).where(~lost)
+
+
+def order_sums(df):
+    return checksums.bucket_sums(df, ["o_orderkey"], buckets=64, by=["cobid"])
+
+
 def brand_prints(spark, sf):
     return canonical.table_fingerprint(parts(spark, sf), by=["p_brand"]).withColumnRenamed(
         "p_brand", "table_name"
@@ -136,6 +148,19 @@ def table_sql(algorithm: str, text: str = CANONICAL) -> str:
 FROM source"""
 
 
+ALTERED = """altered AS (
+  SELECT * REPLACE (CASE WHEN cobid BETWEEN 19980101 AND 19980131 AND o_orderkey % 3 = 0 THEN 'X'
+                    ELSE o_orderstatus END AS o_orderstatus)
+  FROM source WHERE NOT (cobid BETWEEN 19980201 AND 19980210 AND o_orderkey % 5 = 0))"""
+
+
+def order_sums_sql(name: str, table: str) -> str:
+    return f"""{name} AS (
+  SELECT cobid, CAST({number('CAST(o_orderkey AS VARCHAR)', 'md5')} % 64 AS INTEGER) AS bucket,
+         count(*) AS n, sum({number(CANONICAL, 'sha256')}) AS total
+  FROM {table} GROUP BY 1, 2)"""
+
+
 CUSTOMER_TEXT = "concat_ws('|', CAST(o_custkey AS VARCHAR), o_orderstatus)"
 
 ORDER_COLUMNS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
@@ -185,6 +210,18 @@ CASES: dict[str, Case] = {
   CAST(sum({number(CUSTOMER_TEXT, 'sha256')}) AS VARCHAR) AS sha256_customer FROM source""",
         ),
     ),
+    "checksum_tree_diff": Case(
+        lambda spark, sf: checksums.differing_buckets(
+            order_sums(orders(spark, sf)), order_sums(altered_orders(spark, sf)), ["cobid"]
+        ),
+        with_ctes(
+            [SOURCE, ALTERED, order_sums_sql("l", "source"), order_sums_sql("r", "altered")],
+            """SELECT coalesce(l.cobid, r.cobid) AS cobid, coalesce(l.bucket, r.bucket) AS bucket,
+  coalesce(l.n, 0) AS left_rows, coalesce(r.n, 0) AS right_rows
+FROM l FULL JOIN r ON l.cobid = r.cobid AND l.bucket = r.bucket
+WHERE l.n IS DISTINCT FROM r.n OR l.total IS DISTINCT FROM r.total""",
+        ),
+    ),
     "lineage_columns": Case(
         lambda spark, sf: visible(
             static.with_lineage(

@@ -57,7 +57,7 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def _nothing(reason: str) -> Outcome:
+def nothing(reason: str) -> Outcome:
     return reason, 0
 
 
@@ -146,7 +146,7 @@ def _load_partitions(
         brought = store.staged_values(table.table, column, staged)
         gone = scope.select(column).distinct().join(brought, column, "left_anti")
     if not staged.records and (gone is None or gone.isEmpty()):
-        return _nothing("no_new_partitions")
+        return nothing("no_new_partitions")
     store.check_staged(table.table, column, staged, values)
     switched = store.switch(table.table, column, staged, gone)
     store.publish(table.table, table.kind, [switched], now, reason)
@@ -228,7 +228,7 @@ def copy_missing_partitions(
     """Rebuild partitions that one copy of a table lost from the other copy."""
     rows = origin.partitions(table.table)
     if rows is None:
-        return _nothing("nothing_to_copy")
+        return nothing("nothing_to_copy")
     have = destination.partitions(table.table)
     if have is not None:
         lost = partitions.missing_partitions(rows, have, table.partition_column)
@@ -350,7 +350,7 @@ def load_scd2_table(
         rows, name, EXTRACT, load_id, REPLACE, mark, required=[*table.keys, mark]
     )
     if not extract.records:
-        return _nothing("no_data_in_source" if first else "no_new_records")
+        return nothing("no_data_in_source" if first else "no_new_records")
     batch = store.read_load(name, extract)
     if first:
         after, mode, reason = _first_versions(batch, table), REPLACE, "initial_load"
@@ -399,7 +399,7 @@ def backfill_scd2_table(
             late, table.table, EXTRACT, load_id, REPLACE, stamp, required=[*table.keys, stamp]
         )
         if not extract.records:
-            return _nothing("no_data_in_source")
+            return nothing("no_data_in_source")
         known = store.read_load(table.table, extract)
         published = F.col(stamp) <= F.lit(mark).cast(rows.schema[stamp].dataType)
         after = scd2.backfill_appended(known.where(published), target, table)
@@ -417,7 +417,7 @@ def backfill_scd2_table(
         earlier.unionByName(late), table.table, EXTRACT, load_id, REPLACE, stamp, required=table.keys
     )
     if not extract.records:
-        return _nothing("no_data_in_source")
+        return nothing("no_data_in_source")
     known = store.read_load(table.table, extract)
     after = scd2.backfill(known, target, table)
     _publish_versions(store, table, after, REPLACE, load_id, now or utc_now(), "backfill", mark)
@@ -481,9 +481,9 @@ def load_static_table(
         printed, states, F.lit(str(now)).cast("timestamp_ntz"), table.force_reload_after_days, force
     ).first()
     if not decision["needs_load"]:
-        return _nothing("unchanged")
+        return nothing("unchanged")
     if decision["row_count"] == 0:
-        return _nothing("empty_source")
+        return nothing("empty_source")
     content = decision["fingerprint"]
     have = store.read(table.table, DATA)
     result, columns = rows, rows.columns
@@ -516,7 +516,7 @@ def repair_static_table(store: Store, table: StaticTable, source: DataFrame) ->
             rows, have.select(*rows.columns), algorithm=table.hash_algorithm
         ).first()
         if not match["row_count_mismatch"] and not match["hash_mismatch"]:
-            return _nothing("consistent")
+            return nothing("consistent")
     return load_static_table(store, table, source, force=True)
 
 
@@ -557,7 +557,7 @@ def load_append_table(
             fresh = join_null_safe(fresh, known.select(*table.keys), table.keys, "left_anti")
     written = store.write(fresh, table.table, DATA, load_id, APPEND, column)
     if not written.records:
-        return _nothing("no_new_records")
+        return nothing("no_new_records")
     store.publish(table.table, table.kind, [written], now, reason)
     return reason, written.records
 

@@ -15,6 +15,7 @@ with until ``expire`` removes what newer manifests no longer name.
     <root>/<table>/<part>/tidemark_load=<folder>/<column>=<value>   partitions of one load
     <root>/<table>/manifests/<part>/<folder>             all partitions after one load
     <root>/<table>/manifests/<part>/<folder>.staged      the partitions of that load alone
+    <root>/<table>/sums/<part>                           checksums of partition folders, append only
 """
 
 from __future__ import annotations
@@ -360,6 +361,20 @@ class Store:
         reader = self.spark.read.schema(named).option("basePath", self.path(table, part))
         return reader.parquet(*[self.path(table, part, f) for f in folders])
 
+    def rows_by_load(
+        self, table: str, part: str, folders: Sequence[str], schema: T.StructType
+    ) -> DataFrame:
+        """The rows of some partition folders, with the load that wrote them in ``LOAD_KEY``."""
+        return self._read_folders(table, part, folders, schema)
+
+    def kept_sums(self, table: str, part: str, schema: T.StructType) -> DataFrame | None:
+        """All checksums kept beside the folders of a part, None before the first."""
+        return self._read_if_there(self.path(table, "sums", part), schema)
+
+    def keep_sums(self, sums: DataFrame, table: str, part: str) -> None:
+        """Add checksums of folders; folders never change, so kept sums stay true."""
+        sums.write.mode("append").options(**self.file_options).parquet(self.path(table, "sums", part))
+
     def stage(
         self, df: DataFrame, table: str, column: str, load_id: str, part: str = PARTITIONS
     ) -> Written:
