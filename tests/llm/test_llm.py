@@ -293,6 +293,38 @@ def test_common_lines():
         assert len(i) == (best[len(a) - 1, len(b) - 1] if a and b else 0)
 
 
+def test_common_lines_in_halves(monkeypatch):
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        a, b = (rng.integers(0, 5, rng.integers(0, 40)) for _ in range(2))
+        whole = html.common_lines(a, b)
+        with monkeypatch.context() as m:
+            m.setattr(html, "TABLE", 6)
+            i, j = html.common_lines(a, b)
+        assert len(i) == len(whole[0]) and (a[i] == b[j]).all() and i == sorted(set(i)) and j == sorted(set(j))
+
+
+def test_hostile_pages_are_read_in_one_pass():
+    # a reader that starts over at each tag would need hours for these
+    n = 200_000
+    text = lambda page: [x.text for x in html.lines(page)]
+    assert text('<a title="' + "<b x>" * n)[0].startswith('<a title="')
+    assert text("<div>" * n + "x" + "</div>" * n) == ["x"]
+    assert text("<div>" * n + "y" + "</nav>" * n) == ["y"]
+    assert text('<a "' * n + ">") == [] and text('<a "' * (n + 1) + ">") == ['<a "'] and len(text("<a '\"<b \"' " * n)) == 1
+    assert text("<script>" * n) == text("<!-- " * n) == text("<div><main>" * n) == []
+    assert text("<p>one" + "<svg " * n) == ["one" + ("<svg " * n).rstrip()]
+
+
+def test_tags_that_do_not_end():
+    text = lambda page: [x.text for x in html.lines(page)]
+    assert text("a < b <c") == ["a < b <c"]
+    assert text("<p>1 <i a='>2</i> 3") == ["1 <i a='>2 3"]  # the quote stays open: the tag is text
+    assert text("<p>1 <i a='>'>2</i> <!x <?y>3") == ["1 2 3"]
+    assert text("<p>1<script a='>'>2</p></SCRIPT >3<title/>4") == ["13"]
+    assert text("<p>1<svg a='/>'>2</svg>3<math b/>4<!-- 5") == ["134"]
+
+
 def test_url_verdicts(spark):
     cases = [
         ("http://a.net/x", "a.net", "/x", "net/", "block"), ("HTTP://www.Example.net/en/1?q", "www.example.net", "/en/1", "example.net/en/", "allow"),
