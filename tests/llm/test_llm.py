@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -93,6 +93,35 @@ def test_passages_with_ruled_lines(spark):
     assert found == {(i, i): 179 / 221 for i in range(12)}
 
 
+def test_windows_of_repeated_words_by_brute_force(spark):
+    rng = random.Random(11)
+    some = lambda n: " ".join(rng.choice("aab") for _ in range(n))
+    items = [(i, some(rng.randint(3, 14))) for i in range(25)]
+    docs = [(i, some(rng.randint(0, 40))) for i in range(40)]
+    cut = lambda text, n: [tuple(w[i : i + n]) for w in [text.split()] for i in range(len(w) - n + 1)]
+    want = {}
+    for item_id, item in items:
+        n = min(5, len(item.split()))
+        bag = Counter(cut(item, n))
+        m = sum(bag.values())
+        for doc_id, doc in docs:
+            all_ = cut(doc, n)
+            scores = [((c := sum((Counter(all_[t : t + m]) & bag).values())) / (2 * m - c), -t) for t in range(len(all_) - m + 1)]
+            if scores and max(scores)[0] >= 0.8:
+                want[doc_id, item_id] = (max(scores)[0], -max(scores)[1])
+    found = decontaminate.contaminated(spark.createDataFrame(docs, TEXTS), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found.collect()} == want and len(want) > 50
+
+
+def test_long_repetitive_texts_are_judged(spark):
+    # the windows of this document hold hundreds of millions of shingles
+    pattern = lambda n: "tick tock " * (n // 2)
+    docs = [(1, pattern(60_000)), (2, "start " + pattern(30_000)), (3, "other words " * 20_000)]
+    items = [(1, pattern(12_000)), (2, pattern(50_000))]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, TEXTS), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in found.collect()} == {(1, 1, 1.0, 0), (2, 1, 1.0, 1), (1, 2, 1.0, 0)}
+
+
 def test_language_held_out(spark):
     docs = {r.doc_id: r.lang for r in queries.table(spark, SF, "documents").collect()}
     found = queries.op3_language_id(spark, SF).collect()

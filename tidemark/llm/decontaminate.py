@@ -1,27 +1,23 @@
-"""Benchmark passages in documents: SimHash of item-sized windows, blocks, exact check.
+"""Benchmark passages in documents: exact weighted overlap of every item-sized window.
 
-Every window that shares a shingle with its item is judged exactly; the SimHash distance only
-tells which go to the check at once and which through a cheap exact bound first.
+A SimHash radius cannot give whole results here. Windows are bags of shingles, and a run of one
+repeated shingle turns a fingerprint whatever else agrees, so pairs of similarity 0.8 lie beyond
+any radius that still selects. The overlap of all windows is computed instead, without cutting
+one: an occurrence of a shingle counts for a range of window starts, so the overlap is a running
+sum over the ends of these ranges.
 
-Only DataFrame functions: the shingles of a document are one array of 64-bit digests, and
-windows are slices of it.
+Only DataFrame functions: the shingles of a document are one array of 64-bit digests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, written
+from tidemark.llm.common import SPACES
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BITS = 64
-#: Differing bits up to which a window goes to the exact check at once. Of distinct shingles,
-#: sets of similarity 0.8 have a cosine of 0.89, thus 9.7 differing bits of 64 on average with
-#: a deviation of 2.9; repeated shingles can lie farther apart. Windows beyond the radius are
-#: not dropped: they go through an exact bound first (see could_reach).
-RADIUS = 21
 #: Items' shingles are broadcast up to this many rows (about 32 MB); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -70,102 +66,77 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def _bits(digest: Column) -> list[Column]:
-    """Per bit, the shingles that have it less those that have not."""
-    return [
-        F.sum(F.shiftright(digest, b).bitwiseAND(1) * 2 - 1).alias(f"b{b}") for b in range(BITS)
-    ]
+def overlaps(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
+    """doc_id, item_id, start, common, length: the weight that an item has in common with the
+    windows of a document, at each start where it changes.
 
-
-def _print() -> Column:
-    """The bits whose sum is positive."""
-    sums = F.array(*[F.col(f"b{b}") for b in reversed(range(BITS))])
-    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    return F.aggregate(
-        sums, none, lambda bits, x: F.shiftleft(bits, 1).bitwiseOR(F.when(x > 0, one).otherwise(none))
+    Of the occurrences of a shingle inside a window, as many count as the item has, the last
+    ones. So an occurrence at p counts for starts up to p, unless as many later ones are inside
+    too; rows grow with the shingles that a document shares with an item, not with its windows.
+    """
+    known = (
+        items.where(F.col("size") == size)
+        .select("item_id", F.size("item").alias("length"), F.explode("item").alias("digest"))
+        .groupBy("item_id", "length", "digest")
+        .agg(F.count(F.lit(1)).cast("int").alias("wanted"))
     )
-
-
-def blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
-    """(block, bits) structs: of radius + 1 blocks one is equal within the radius."""
-    n = radius + 1
-    cuts = [BITS * i // n for i in range(n + 1)]
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned(fingerprint, s).bitwiseAND((1 << (e - s)) - 1).alias("bits"),
-            )
-            for i, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))
-        ]
+    # shared shingles are put together per document before they meet the items
+    places = (
+        docs.select("doc_id", "part", shingles_of(words_of(F.col("text")), size).alias("all"))
+        .select("doc_id", "part", F.size("all").alias("n"), F.posexplode("all").alias("at", "digest"))
+        .join(small(known.select("digest").distinct(), BROADCAST_ROWS), "digest", "left_semi")
+        .groupBy("doc_id", "part", "n", "digest")
+        .agg(F.array_sort(F.collect_set("at")).alias("places"))
     )
-
-
-def windows(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Every item-sized window of a document that shares a shingle with the item.
-
-    A window without a common shingle has similarity zero, so none is lost. The shared
-    shingles are found on narrow rows; only documents that have some are cut to windows.
-    """
-    items = items.where(F.col("size") == size).select("item_id", F.array_distinct("item").alias("known"), F.size("item").alias("length"))
-    items = items.select("item_id", "length", F.explode("known").alias("digest"))
-    docs = docs.select("doc_id", "part", shingles_of(words_of(F.col("text")), size).alias("all"), "text")
-    placed = docs.select("doc_id", "part", F.posexplode("all").alias("at", "digest"))
+    length, wanted, n = F.col("length"), F.col("wanted"), F.col("n")
     met = (
-        placed.join(small(items, BROADCAST_ROWS), "digest")
-        .groupBy("doc_id", "part", "item_id", "length")
-        .agg(F.collect_set("at").alias("places"))
-    )
-    met = written(met, "places")
-    texts = docs.select("doc_id", "part", "text")
-    length = F.col("length")
-
-    def cut(all_: Column) -> Column:
-        ends = F.size(all_) - length
-        around = F.transform(
-            F.filter("places", lambda p: p - length + 1 <= ends),
-            lambda p: F.sequence(F.greatest(p - length + 1, F.lit(0)), F.least(p, ends)),
+        places.join(small(known, BROADCAST_ROWS), "digest")
+        .where(n >= length)
+        .groupBy("doc_id", "part", "item_id", "length", "n")
+        .agg(
+            F.sum(F.least(F.size("places"), wanted)).alias("most"),
+            F.collect_list(F.struct("wanted", "places")).alias("shared"),
         )
-        starts = F.when(ends >= 0, F.array_distinct(F.flatten(around))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(all_, s + 1, length).alias("window")))
-
-    return (
-        # texts are shuffled whatever the size of the other side: no switch of plans
-        texts.join(met.hint("merge"), ["doc_id", "part"])
-        .select(
-            "doc_id",
-            "part",
-            "item_id",
-            F.explode(bound(shingles_of(words_of(F.col("text")), size), cut)).alias("found"),
-        )
-        .select("doc_id", "part", "item_id", "found.start", "found.window")
+        .where(_reaches(F.col("most"), length))
+        .select("doc_id", "part", "item_id", "length", "n", F.inline("shared"))
     )
+    last = n - length
 
+    def counted(p: Column, i: Column) -> Column:
+        later = F.get("places", i + wanted)
+        return F.struct(
+            F.greatest(p - length + 1, F.lit(0)).alias("low"),
+            F.least(p, last, F.coalesce(later - length, last)).alias("high"),
+        )
 
-def fingerprinted(rows: DataFrame, keys: list[str], array: str) -> DataFrame:
-    """keys and the SimHash (print) of an array of digests."""
+    ranges = F.filter(F.transform("places", counted), lambda r: r.low <= r.high)
+    steps = met.select("doc_id", "part", "item_id", "length", F.inline(ranges)).select(
+        "doc_id",
+        "part",
+        "item_id",
+        "length",
+        F.inline(
+            F.array(
+                F.struct(F.col("low").alias("start"), F.lit(1).alias("step")),
+                F.struct((F.col("high") + 1).alias("start"), F.lit(-1).alias("step")),
+            )
+        ),
+    )
+    along = Window.partitionBy("doc_id", "part", "item_id", "length").orderBy("start")
     return (
-        rows.select(*keys, F.explode(array).alias("digest"))
-        .groupBy(*keys)
-        .agg(*_bits(F.col("digest")))
-        .select(*keys, _print().alias("print"))
+        steps.groupBy("doc_id", "part", "item_id", "length", "start")
+        .agg(F.sum("step").alias("step"))
+        .select("doc_id", "item_id", "start", F.sum("step").over(along).alias("common"), "length")
     )
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Common weight of two bags of digests over their joint weight."""
-    count = lambda bag, x: F.size(F.filter(bag, lambda y: y == x))
-    common = F.aggregate(
-        F.array_distinct(b), F.lit(0), lambda total, x: total + F.least(count(a, x), count(b, x))
-    )
-    return common / (F.size(a) + F.size(b) - common)
+def similarity(common: Column, length: Column) -> Column:
+    """Common weight of two bags of one length over their joint weight."""
+    return common / (length * 2 - common)
 
 
-def could_reach(a: Column, b: Column) -> Column:
-    """Whether the similarity of two bags can be SIMILARITY, by their digests that the other
-    lacks: each takes one at least from the common weight. Never false for bags that are."""
-    common = F.least(F.size(a) - F.size(F.array_except(a, b)), F.size(b) - F.size(F.array_except(b, a)))
-    return common / (F.size(a) + F.size(b) - common) >= SIMILARITY
+def _reaches(common: Column, length: Column) -> Column:
+    return similarity(common, length) >= SIMILARITY
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -184,43 +155,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("part"))
     if not sizes:
         return docs.select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start")).limit(0)
-    cut = windows(docs, items, sizes[0])
+    found = overlaps(docs, items, sizes[0])
     for size in sizes[1:]:
-        cut = cut.union(windows(docs, items, size))
-    cut = written(cut, "windows")
-    keys = ["item_id", "window"]
-    # equal windows, as copies of a passage make them, are judged once
-    kinds = cut.select(*keys).distinct()
-    prints = written(fingerprinted(kinds, keys, "window").select("*", F.xxhash64(*keys).alias("kind")), "prints")
-    known = written(fingerprinted(items, ["item_id", "item"], "item"), "items")
-    of_items = known.select(
-        F.col("item_id").alias("of_item"),
-        F.col("print").alias("item_print"),
-        F.explode(blocks(F.col("print"))).alias("item_key"),
-    )
-    blocked = prints.select("item_id", "kind", "print", F.explode(blocks(F.col("print"))).alias("key"))
-    near = (
-        blocked.join(
-            small(of_items, BROADCAST_ROWS),
-            (F.col("item_id") == F.col("of_item")) & (F.col("key") == F.col("item_key")),
-        )
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("item_id", "kind", F.lit(True).alias("close"))
-        .distinct()
-    )
-    judged = (
-        prints.join(near, ["item_id", "kind"], "left")
-        .join(small(known.select("item_id", "item"), BROADCAST_ROWS), "item_id")
-        .where(F.col("close").isNotNull() | could_reach(F.col("window"), F.col("item")))
-        .select(*keys, similarity(F.col("window"), F.col("item")).alias("similarity"))
-        .groupBy(*keys)
-        .agg(F.max("similarity").alias("similarity"))
-        .where(F.col("similarity") >= SIMILARITY)
+        found = found.union(overlaps(docs, items, size))
+    scored = found.where(_reaches(F.col("common"), F.col("length"))).select(
+        "doc_id", "item_id", "start", similarity(F.col("common"), F.col("length")).alias("similarity")
     )
     best = F.max_by(F.struct("similarity", "start"), F.struct("similarity", -F.col("start"))).alias("best")
     return (
-        cut.join(judged, keys)
-        .groupBy("doc_id", "item_id")
+        scored.groupBy("doc_id", "item_id")
         .agg(best)
         .select("doc_id", "item_id", "best.similarity", "best.start")
     )
