@@ -25,9 +25,10 @@ EPOCHS = 6
 #: Small samples are gone over more often, up to this many steps.
 STEPS = 6000
 RATE = 2.0
-#: Share of the right answers on calibration rows that a rejection may cost; the threshold
-#: is at most one half, which rejects only what no language has a majority for.
+#: Share of the right answers on calibration rows that the rejection may cost, and the share
+#: of texts of random letters that it has no need to go beyond.
 REJECTED = 0.001
+NOISE = 0.99
 _MIX = np.uint32(2654435761)
 
 
@@ -75,8 +76,25 @@ def probabilities(sums: np.ndarray, sharpness: float) -> np.ndarray:
     return z / z.sum(axis=-1, keepdims=True)
 
 
+def _alphabet(texts: list[str]) -> np.ndarray:
+    return np.array(sorted({c for t in texts for c in t.lower() if c.isalpha()}))
+
+
+def _noise(text: str, alphabet: np.ndarray, rng: np.random.Generator) -> str:
+    """A text with every letter drawn at random; what is no letter stays."""
+    drawn = rng.choice(alphabet, len(text))
+    return "".join(d if c.isalpha() else c for c, d in zip(text, drawn, strict=True))
+
+
 def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model:
-    """Train by stochastic gradient descent, then calibrate on a fifth of the rows."""
+    """Train by stochastic gradient descent, then calibrate on a fifth of the rows.
+
+    Calibration sets the sharpness of the softmax and the score below which a text is
+    rejected: the REJECTED quantile of the scores of right answers, or the NOISE quantile of
+    the scores of the same texts in random letters where that is lower (so that a sample
+    whose answers are all certain does not reject the nearly certain). Fewer than five rows
+    calibrate on the rows they were fitted to.
+    """
     names = tuple(sorted(set(languages)))
     rows = [(np.unique(grams(t), return_counts=True), names.index(x)) for t, x in zip(texts, languages, strict=True)]
     rows = [((u, (c / c.sum()).astype(np.float32)), y) for (u, c), y in rows if u.size]
@@ -110,7 +128,14 @@ def fit(texts: list[str], languages: list[str], seed: int = 7) -> Model:
     )
     scores = probabilities(sums, sharpness)
     right = scores.max(axis=1)[scores.argmax(axis=1) == truth] if truth.size else np.array([])
-    threshold = min(0.5, float(np.quantile(right, REJECTED))) if right.size else 0.0
+    usable = [t for t in texts if grams(t).size]
+    alphabet = _alphabet(usable)
+    noise = [_noise(usable[i], alphabet, rng) for i in calibrate] if right.size else []
+    by_chance = [
+        probabilities(share @ table[units] + bias, sharpness).max()
+        for units, share in ((u, c / c.sum()) for u, c in (np.unique(grams(t), return_counts=True) for t in noise))
+    ]
+    threshold = min(float(np.quantile(right, REJECTED)), float(np.quantile(by_chance, NOISE))) if right.size else 0.0
     return Model(names, table, bias, sharpness, threshold)
 
 
