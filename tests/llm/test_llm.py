@@ -136,6 +136,22 @@ def test_language_held_out(spark):
     assert {r.lang_pred for r in language.identify(edge, nothing).collect()} == {"und"}
 
 
+def test_rejection_is_calibrated(spark):
+    docs = queries.table(spark, SF, "documents")
+    model = language.train(docs, common.F.lit(True))
+    found = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    right = [r for r in found if r.lang_pred == r.lang]
+    assert 0 < model.threshold < 1 and np.mean([r.rejected for r in right]) < 0.02
+    assert all(r.rejected == (r.lang_pred == language.UNKNOWN or r.score < model.threshold) for r in found)
+    # random letters lose far more rows than documents do
+    rng, letters = np.random.default_rng(5), np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    junk = [" ".join("".join(rng.choice(letters, 6)) for _ in range(12)) for _ in range(100)]
+    assert np.mean([language.judge(t, model)[1] < model.threshold for t in junk]) > 0.1
+    # a sample that is told apart with certainty does not reject what is nearly certain
+    sure = language.fit(["der die das und ist", "the and of is with"] * 20, ["de", "en"] * 20)
+    assert language.judge("the and", sure)[1] >= sure.threshold
+
+
 def test_quality_held_out(spark):
     labels = {r.doc_id: r.quality for r in queries.table(spark, SF, "labels").collect()}
     found = got(queries.op7_quality(spark, SF))
@@ -164,7 +180,19 @@ def test_tokens_agree_with_the_library(spark):
             letters = own.start(piece)
             assert list(own.stream(letters)) == own.merged([own.ids[x] for x in letters])
     ids = np.frombuffer(own.encode("the naïve <|endoftext|> 中文"), "<u4")
-    assert "".join(own.readable(ids.tolist())) == "the naïve <|endoftext|>中文 "
+    for block in (1, 2, 1 << 14):  # blocks may end inside a character
+        assert "".join(own.readable(ids, block)) == "the naïve <|endoftext|>中文 "
+    first = np.frombuffer(own.encode("中"), "<u4")[:1]
+    assert first.size and "".join(own.readable(first)) in ("\ufffd", "中 ")
+
+
+def test_readable_text_round_trip(spark):
+    coder = bpe.Transducer(bpe.read_spec(queries.TOKENIZER))
+    docs = {r.doc_id: r.text for r in queries.table(spark, SF, "documents").collect()}
+    found = bpe.decode(bpe.encode(queries.table(spark, SF, "documents"), queries.TOKENIZER), queries.TOKENIZER).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        assert "".join(r.readable.split()) == "".join(coder.normal(docs[r.doc_id] or "").split())
 
 
 # ---- repeats -----------------------------------------------------------------

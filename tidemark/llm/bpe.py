@@ -74,6 +74,8 @@ class Transducer:
         }
         self.made = [self.ids[a + b] for a, b in model["merges"]]
         self.letters = byte_letters()
+        self.marks = np.array(sorted(self.special.values()), "<u4")
+        self.spoken = self._bytes_of_tokens().__getitem__
         self.lookahead = max(self.symbols(t) for t in self.ids)
         steps = spec["normalizer"]["normalizers"] if spec.get("normalizer") else []
         self.composes = any(s["type"] == "NFC" for s in steps)
@@ -85,6 +87,16 @@ class Transducer:
         self.valid = lru_cache(1 << 16)(self._valid)
         self.of_piece = Generations(lambda p: array("I", self.encode_piece(p)).tobytes())
 
+    def _bytes_of_tokens(self) -> list[bytes]:
+        """What each id adds to the running text; nothing for special tokens and gaps."""
+        values = {x: b for b, x in enumerate(self.letters)}
+        out = [b""] * (max(self.tokens) + 1)
+        for token, i in self.ids.items():
+            if token not in self.special:
+                body = token.removesuffix(self.suffix) if self.suffix else token
+                out[i] = bytes(values[x] for x in body) + b" " * (body != token)
+        return out
+
     def symbols(self, token: str) -> int:
         return len(token.removesuffix(self.suffix)) if self.suffix else len(token)
 
@@ -196,22 +208,24 @@ class Transducer:
         """The tokens with a space between, as a tokenizer file without a decoder gives them."""
         return " ".join(map(self.named, ids.tolist()))
 
-    def readable(self, ids: Iterable[int]) -> Iterator[str]:
-        """Text of a token stream, piece by piece: bytes that end inside a character wait.
+    def readable(self, ids: np.ndarray, block: int = 1 << 14) -> Iterator[str]:
+        """Running text of a token stream, a block of tokens at a time.
 
-        A word end becomes a space. Bytes that are no UTF-8 become U+FFFD.
+        Tokens give bytes, a word end gives a space, and an incremental decoder turns the
+        bytes into text: those that end inside a character wait for the next block. Bytes
+        that are no UTF-8 become U+FFFD. A special token ends a character that is open.
         """
-        values = {x: b for b, x in enumerate(self.letters)}
         state = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            token = self.tokens[i]
-            if i in self.special.values():
-                yield state.decode(b"", final=True) + token
-                state.reset()
-                continue
-            body = token.removesuffix(self.suffix) if self.suffix else token
-            yield state.decode(bytes(values[x] for x in body)) + " " * (body != token)
-        yield state.decode(b"", final=True)
+        marks = np.flatnonzero(np.isin(ids, self.marks)).tolist()
+        start = 0
+        for mark in [*marks, ids.size]:
+            for at in range(start, mark, block):
+                yield state.decode(b"".join(map(self.spoken, ids[at : min(at + block, mark)].tolist())))
+            yield state.decode(b"", final=True)
+            state.reset()
+            if mark < ids.size:
+                yield self.named(int(ids[mark]))
+            start = mark + 1
 
 
 @lru_cache(2)
@@ -230,14 +244,18 @@ def _encoded(batches: Iterable[pa.RecordBatch], spec: str) -> Iterator[pa.Record
             )
 
 
-def _decoded(batches: Iterable[pa.RecordBatch], spec: str, readable: bool) -> Iterator[pa.RecordBatch]:
+def _decoded(batches: Iterable[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     coder = _loaded(spec)
     for batch in batches:
-        for part in slices(batch, 2):
+        for part in slices(batch, 2, size=1 << 20):
             ids = [np.frombuffer(x or b"", "<u4") for x in part.column(2).to_pylist()]
-            text = ["".join(coder.readable(x.tolist())) if readable else coder.joined(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(text, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"]
+                [
+                    *part.columns[:3],
+                    pa.array([coder.joined(x) for x in ids], pa.string()),
+                    pa.array(["".join(coder.readable(x)) for x in ids], pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids", "decoded", "readable"],
             )
 
 
@@ -260,13 +278,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
-def decode(encoded: DataFrame, path: str, readable: bool = False) -> DataFrame:
-    """The rows of encode() and their decoded text.
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """The rows of encode() with two texts of their ids.
 
-    By default what the tokenizer file's own decoder gives (here it has none: tokens with a
-    space between); `readable` puts the bytes of the tokens together to running text.
+    decoded is what the tokenizer file's own decoder gives (here it has none: tokens with a
+    space between); readable is running text from the bytes of the tokens. Null ids give
+    empty texts.
     """
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        partial(_decoded, spec=read_spec(path), readable=readable),
-        "doc_id long, n_tokens long, ids binary, decoded string",
+        partial(_decoded, spec=read_spec(path)),
+        "doc_id long, n_tokens long, ids binary, decoded string, readable string",
     )

@@ -56,6 +56,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("readable").cast("binary"), 256).alias("readable_sha256"),
     )
 
 
@@ -132,7 +133,9 @@ QUERIES = {
     )
 }
 SQL = {
+    "op1_warc": warc.SQL,
     "op2_decontamination": decontaminate.SQL,
+    "op5_substring_dedup": substrings.SQL,
     "op6_embedding_dedup": embeddings.SQL,
     "op11_conversation_repair": conversations.SQL,
     "op12_merkle_manifest": merkle.SQL,

@@ -360,3 +360,38 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(b" ".join(left).decode("utf-8") if len(left) < len(words) else None)
             changed = pa.array([k is not None for k in kept])
             yield pa.RecordBatch.from_arrays([rows, pa.array(kept, pa.string()), changed], ["row", "kept", "changed"])
+
+
+#: The same rows from every window as a text of its own, for tables whose doc_id is unique.
+SQL = r"""
+WITH words AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+    FROM (
+        SELECT doc_id, list_filter(
+            string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''
+        ) AS w FROM documents
+    )
+), windows AS (
+    SELECT doc_id, pos, word,
+        string_agg(word, ' ') OVER fifty AS passage, count(*) OVER fifty AS n
+    FROM words
+    WINDOW fifty AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), firsts AS (
+    SELECT passage, min(doc_id) AS first_id FROM windows WHERE n = 50 GROUP BY passage
+), judged AS (
+    SELECT a.doc_id, a.pos, a.word, coalesce(a.n = 50 AND f.first_id < a.doc_id, false) AS repeats
+    FROM windows a LEFT JOIN firsts f ON a.passage = f.passage
+), covered AS (
+    SELECT doc_id, pos, word, bool_or(repeats) OVER (
+        PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW
+    ) AS gone
+    FROM judged
+), kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+        string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
+    FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+    sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

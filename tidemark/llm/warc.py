@@ -258,3 +258,19 @@ def read_archive(bundles: DataFrame, payloads: bool = True) -> DataFrame:
         "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
         "payload_digest string, payload binary",
     )
+
+
+#: What reading back the archives of `pages` gives, for tables whose page_id is unique.
+SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), sized AS (
+    SELECT page_id, payload, octet_length(encode(payload)) AS payload_bytes,
+        min(page_id) OVER (PARTITION BY payload) AS first_id
+    FROM payloads
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM sized
+"""
