@@ -32,12 +32,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode every text and decode it again."""
+    """Encode every text and decode it again, as the tokenizer file does and as running text."""
     return bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("readable").cast("binary"), 256).alias("readable_sha256"),
     )
 
 
