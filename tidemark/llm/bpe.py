@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, tidy
 
 #: Entries of each generation of a task's cache.
 CACHE = 300_000
@@ -47,6 +47,10 @@ class Generations(dict):
         super().__init__()
         self.make, self.size, self.old = make, size, {}
 
+    def empty(self) -> None:
+        self.old = {}
+        self.clear()
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
@@ -233,17 +237,22 @@ def _loaded(spec: str) -> Transducer:
     return Transducer(spec)
 
 
+@tidy
 def _encoded(batches: Iterable[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     coder = _loaded(spec)
-    for batch in batches:
-        for part in slices(batch, 1):
-            ids = [coder.encode(t or "") for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "n_tokens", "ids"],
-            )
-
-
+    try:
+        for batch in batches:
+            for part in slices(batch, 1):
+                ids = [coder.encode(t or "") for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    ["doc_id", "n_tokens", "ids"],
+                )
+    finally:  # the worker goes on to other stages, which do not need the pieces
+        coder.of_piece.empty()
+
+
+@tidy
 def _decoded(batches: Iterable[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     coder = _loaded(spec)
     for batch in batches:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,23 @@ def slices(batch: pa.RecordBatch, column: int, rows: int = 256, size: int = 4 <<
         at += n
 
 
+def tidy(step: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A step over Arrow batches that gives unused Arrow memory back when its task ends.
+
+    Python workers serve many tasks of many stages; without this they keep the most that any
+    of them needed.
+    """
+
+    @wraps(step)
+    def run(*args, **settings):
+        try:
+            yield from step(*args, **settings)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Tables of whole groups: consecutive rows that agree in the first `keys` columns.
 
@@ -121,6 +139,7 @@ def group_starts(table: pa.Table, keys: int) -> np.ndarray:
     return np.flatnonzero(changed)
 
 
+@tidy
 def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of a partition, cut down to one edge from each node to its smallest relative."""
     parent: dict[int, int] = {}

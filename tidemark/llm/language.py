@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import slices, tidy
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -153,6 +153,7 @@ def judge(text: str | None, model: Model) -> tuple[str, float]:
     return model.languages[int(p.argmax())], float(p.max())
 
 
+@tidy
 def _judged(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, 1)):
         found = [judge(t, model) for t in batch.column(1).to_pylist()]
@@ -206,6 +207,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+@tidy
 def _accepted(batches: Iterable[pa.RecordBatch], model: Model, text: int) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, text)):
         found = [judge(t, model) for t in batch.column(text).cast(pa.string()).to_pylist()]

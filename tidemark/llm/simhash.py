@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, group_starts, runs, slices, texts, written
+from tidemark.llm.common import components, group_starts, runs, slices, texts, tidy, written
 
 SHINGLE = 4
 SEED = 42
@@ -44,6 +44,7 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
 
 
+@tidy
 def _fingerprints(batches: Iterable[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
     for batch in (part for whole in batches for part in slices(whole, 1)):
         values = np.array([fingerprint(t, size, seed) for t in texts(batch.column(1))], np.uint64)
@@ -73,6 +74,7 @@ def block_keys() -> list:
     ]
 
 
+@tidy
 def _near(batches: Iterable[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Links within each group, as a forest: enough for components, never all pairs."""
     for table in runs(batches, 3):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, written
+from tidemark.llm.common import slices, tidy, written
 
 WINDOW = 50
 GUARD = 12
@@ -189,6 +189,7 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[list[list]]:
             yield from _groups(columns, 1)
 
 
+@tidy
 def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, words, prints in _pieces(batches):
         docs, keys = Parsed(words).all_keys()
@@ -202,6 +203,7 @@ def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@tidy
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, words, prints, shared in _pieces(batches):
         parsed = Parsed(words)
@@ -233,6 +235,7 @@ def kept_words(words: list[bytes], starts: list[int] | None, copy: bool) -> list
     return [w for w, k in zip(words, keep.tolist(), strict=True) if k]
 
 
+@tidy
 def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, words, starts, copies in _pieces(batches):
         left = [kept_words(w, s, bool(c)) for w, s, c in zip(words, starts, copies, strict=True)]
@@ -349,6 +352,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     return cut.select(*[new[c].alias(c) for c in docs.columns])
 
 
+@tidy
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 0, size=1 << 20):
