@@ -9,7 +9,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.config import AppendTable
 from tidemark.operators.layout import clustered
+from tidemark.plans import jobs
+from tidemark.sinks.store import Store
 
 
 def groups_to_read(folder: str, column: str, low, high) -> tuple[int, int]:
@@ -55,3 +58,15 @@ def test_odd_rows_stay(spark):
     for bad in (["c"], []):
         with pytest.raises(ValueError):
             clustered(rows, bad)
+
+
+def test_append_load_in_clustered_order(spark, tmp_path):
+    table = AppendTable("clicks", "at", cluster=("at", "size"))
+    rows = spark.range(2_000).selectExpr("id as at", "cast(pmod(xxhash64(id), 100) as int) as size")
+    store = Store(spark, str(tmp_path))
+    jobs.load_append_table(store, table, rows.where("at < 1500"))
+    jobs.load_append_table(store, table, rows)
+    found = store.read("clicks", jobs.DATA)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+    assert [r["records"] for r in store.log_rows("clicks")] == [1500, 500]
+    assert store.log_rows("clicks")[-1]["last_value"] == "1999"

@@ -176,6 +176,7 @@ class AppendTable:
     ``keys`` identify a row of the source. With them, rows that share the highest value,
     arrive up to ``overlap`` below it (seconds for times, else in units of the column), or have
     no value there, are taken too, each once. Without them rows with no value are set aside.
+    ``cluster`` names number, date or time columns along which the rows of a load are ordered.
     """
 
     table: str
@@ -183,6 +184,7 @@ class AppendTable:
     where: str | None = None
     keys: tuple[str, ...] = ()
     overlap: float | None = None
+    cluster: tuple[str, ...] = ()
     kind: str = field(default="append", init=False)
 
     def __post_init__(self):
@@ -191,6 +193,7 @@ class AppendTable:
             table=_name("table", self.table),
             watermark_column=_name("watermark_column", self.watermark_column),
             keys=_columns("keys", self.keys),
+            cluster=_columns("cluster", self.cluster),
         )
         if self.overlap is not None and (self.overlap <= 0 or not self.keys):
             raise ValueError("overlap must be positive and needs keys")
@@ -216,7 +219,7 @@ def table_from_mapping(entry: Mapping) -> TableConfig:
     unknown = sorted(set(values) - known)
     if unknown:
         raise ValueError(f"unknown settings for a {kind} table: {unknown}")
-    for key in ("keys", "primary_keys", "tracked", "tie_break"):
+    for key in ("keys", "primary_keys", "tracked", "tie_break", "cluster"):
         if isinstance(values.get(key), list):
             values[key] = tuple(values[key])
     return _KINDS[kind](**values)

@@ -42,7 +42,9 @@ def clustered(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFr
         if low is None or not low < high or high - low == float("inf"):
             continue
         inside = F.width_bucket(number, F.lit(low), F.lit(high), F.lit(1 << bits)) - 1
-        cell = F.coalesce(F.least(inside, F.lit((1 << bits) - 1)), F.lit(0)).cast("bigint")
+        # a source that changed since the bounds were taken may have values beyond them
+        known = F.greatest(F.least(inside, F.lit((1 << bits) - 1)), F.lit(0))
+        cell = F.when(number.isNotNull(), known).otherwise(0).cast("bigint")
         for b in range(bits):
             bit = F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("bigint"))
             curve = curve.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))

@@ -555,7 +555,7 @@ def load_append_table(
             if mark is not None:
                 known = rows_from(have, column, mark, table.overlap).unionByName(have.where(unmarked))
             fresh = join_null_safe(fresh, known.select(*table.keys), table.keys, "left_anti")
-    written = store.write(fresh, table.table, DATA, load_id, APPEND, column)
+    written = store.write(fresh, table.table, DATA, load_id, APPEND, column, cluster=table.cluster)
     if not written.records:
         return nothing("no_new_records")
     store.publish(table.table, table.kind, [written], now, reason)

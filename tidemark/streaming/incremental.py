@@ -45,7 +45,9 @@ def append_new_files(
         load_id = f"stream-{query_id}-{batch_id:012d}"
         if store.published(table.table, load_id) is not None:
             return
-        written = store.write(batch, table.table, DATA, load_id, APPEND, table.watermark_column)
+        written = store.write(
+            batch, table.table, DATA, load_id, APPEND, table.watermark_column, cluster=table.cluster
+        )
         store.publish(table.table, table.kind, [written], utc_now(), "stream")
         taken.append(written.records)
 
