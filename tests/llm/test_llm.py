@@ -337,6 +337,33 @@ def test_articles_are_whole(spark):
     assert all("A copied text, of some length" in found[i].text for i in (3, 4))
 
 
+def test_every_page_is_differenced(spark):
+    """Articles lose boxes that the nearest URL has too, whatever their class; what a page copies stays."""
+    own = "<p>Text of page %s, which no other page has, on this site or elsewhere</p><p>A paragraph that was copied</p>"
+    box = "<div class='x7 y'><p>Get our letters</p><ul class=z9><li>Daily</ul></div>"
+    page = f"<div>Start</div><article><div class=top><h1>Same headline</h1></div>{own}{box}<section class=part>Part %s</section><section class=part>Copied part</section></article><div>End</div>"
+    rows = [(i, f"http://h/a/{i}", page % (i, i)) for i in (1, 2)]
+    # of two pages with much the same article, none loses a box; equal rows are copies too
+    same = f"<article><p>One long text that both pages have in full</p>{box}<p>Odd %s</p></article>"
+    rows += [(i, f"http://k/a/{i}", same % i) for i in (3, 4)] + [(5, "http://l/a", page % (5, 5))] * 2
+    # a box with a line of its own stays, and so does one that comes in another order
+    moved = "<article><p>A long text of page %s, that has no like here</p>%s</article>"
+    mixed = ["<ul class=a><li>One<li>%s</ul><ul class=b><li>Two</ul><ul class=c><li>Three</ul>", "<ul class=a><li>One<li>%s</ul><ul class=c><li>Three</ul><ul class=b><li>Two</ul>"]
+    rows += [(9 + i, f"http://n/{i}", moved % (9 + i, x % i)) for i, x in enumerate(mixed)]
+    # the nearest URL of a page without an article may have one, and may name what the page does not
+    rows += [(6, "http://m/a/1", "<div class=q>Start</div><article>Of its own</article><div class=menu>Shop</div>")]
+    rows += [(7, "http://m/a/2", "<p>Start</p><p>Of its own</p><p>Another text, longer than what the pages share</p><p>Shop</p>"), (8, "http://m/b", "<p>Else</p>")]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+    text = {r.page_id: r.text for r in found}
+    whole = "Same headline\nText of page {0}, which no other page has, on this site or elsewhere\nA paragraph that was copied\n{1}Part {0}\nCopied part"
+    assert len(found) == len(rows) and [text[i] for i in (1, 2)] == [whole.format(i, "") for i in (1, 2)]
+    assert text[3].split("\n") == ["One long text that both pages have in full", "Get our letters", "Daily", "Odd 3"]
+    assert text[4].endswith("Odd 4") and text[5] == whole.format(5, "Get our letters\nDaily\n")
+    assert [sorted(text[i].split("\n")[1:3]) for i in (9, 10)] == [["0", "One"], ["1", "One"]]
+    assert [len(text[i].split("\n")) for i in (9, 10)] == [4, 4]  # of Two and Three one is in order on both pages
+    assert text[6] == "Of its own" and text[7] == "Of its own\nAnother text, longer than what the pages share" and text[8] == "Else"
+
+
 def test_common_lines():
     rng = random.Random(3)
     for _ in range(200):
@@ -373,6 +400,18 @@ def test_hostile_pages_are_read_in_one_pass():
     assert text("<p>one" + "<svg " * n) == ["one" + ("<svg " * n).rstrip()]
 
 
+def test_long_articles_are_compared_in_linear_time():
+    # the common subsequence of all cells would take minutes
+    cells = lambda n, k: "".join(f"<td>{i * k % 997}" for i in range(n))
+    rows = []
+    n = 100_000
+    for k in (7, 11):
+        page = f"<article><p>{k} own{'.' * 20 * n}</p>{cells(n, k)}<table class=own>{cells(n, k)}</table><div class=ours>Ours</div></article>"
+        rows.append(dict(zip(("digests", "sizes", "boxes"), html._compared(html.lines(page)), strict=True)))
+        rows[-1] |= {"page_id": k, "print": k, "host": "h", "path": "/"}
+    assert [(x[0], x[3]) for x in html._pairs(rows)] == [(7, [2 * n + 1]), (11, [2 * n + 1])]
+
+
 def test_tags_that_do_not_end():
     text = lambda page: [x.text for x in html.lines(page)]
     assert text("a < b <c") == ["a < b <c"]

@@ -1,11 +1,16 @@
 """Main text of web pages: blocks of the page, less furniture and lines that repeat.
 
-A page is cut into blocks. Blocks of menus, headers, footers, forms and the like are
-furniture by their element or class, unless they hold the article. Pages are ordered by host and path, and each is
-aligned with the neighbour whose path agrees longest: lines in the longest common
-subsequence of both are deleted, unless they are most of the page (a copy). Lines inside an article element are spared, because texts
-that copy each other share them; where a page has no article, whatever neither is
-furniture nor repeats is its text.
+A page is cut into blocks. Every page is compared with the page whose URL is nearest (same
+host, path that agrees longest) by a longest common subsequence of their blocks. What both
+have is furniture: outside articles each common line, inside an article each kind of box
+(an element with a class) of which both pages have the same lines and no others. Lines
+that stand in an article by themselves are never deleted, because texts that copy each
+other share them; they count when most of a page is in its neighbour, which then is a copy
+and tells nothing.
+
+What differencing leaves is checked by the markup: blocks of menus, headers, footers, forms
+and the like go by their element or class, unless they hold the article, and where a page
+has an article only its blocks are text.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from __future__ import annotations
 import re
 from array import array
 from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -26,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, tasks, written
+from tidemark.llm.common import slices, tasks, tidy, written
 from tidemark.llm.urls import host_of, path_of
 
 # fixed values: elements by their role
@@ -49,12 +55,15 @@ _MARKS = frozenset(
 _STATES = frozenset("no not with without has have is layout page open opened closed visible hidden fixed enabled disabled".split())
 #: Share of a page's undecided characters beyond which a neighbour that has them is a copy.
 COPY = 0.9
+#: The same for the characters of an article.
+ARTICLE_COPY = 0.5
 #: Cells of a table of two pages' lines that is held whole.
 TABLE = 1 << 22
 _OPEN = re.compile(r"<(?:(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)|(?P<comment>!--)|[!?])", re.IGNORECASE)
 #: The rest of a tag; tried on NEAR characters first, which nearly all tags end in.
 _REST = re.compile(r"(?:\"[^\"]*+\"|'[^']*+'|[^'\">]++)*+>")
 NEAR = 512
+_CLASS = re.compile(r"\bclass\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -62,11 +71,13 @@ _SPACE = re.compile(r"\s+")
 
 @dataclass(frozen=True)
 class Line:
-    """One block: its text, whether it is furniture, whether an article holds it."""
+    """One block: its text, whether it is furniture, whether an article holds it, and the
+    kind of box (element and class) that holds it there, empty for the article itself."""
 
     text: str
     furniture: bool
     inside: bool
+    box: str = ""
 
 
 @dataclass
@@ -81,6 +92,7 @@ class Holder:
     article: bool
     marked: bool
     above: Holder | None
+    box: str = ""  # element and class; empty without a class and for what holds a headline
     framed: bool = False  # holds a main element or the outermost article
     covered: bool = False  # known when the page has been read
 
@@ -197,6 +209,13 @@ def _marked(rest: str, inside: bool) -> bool:
     return False
 
 
+def _box(name: str, rest: str) -> str:
+    """The kind of an element: its name and classes, empty without a class."""
+    found = _CLASS.search(rest)
+    kind = " ".join(found[1].strip("\"'").split()) if found else ""
+    return f"{name} {kind}" if kind else ""
+
+
 def lines(page: str) -> list[Line]:
     """The blocks of a page in order, white space made single, references decoded.
 
@@ -247,34 +266,35 @@ def lines(page: str) -> list[Line]:
                             if holder.framed:
                                 break
                             holder.marked, holder.framed = False, True
+                    box = _box(name, tag.rest) if inside and name not in _CONTENT else ""
                     holders.append(
-                        Holder(name, furniture or own, inside or name in _CONTENT, article or name == "article", marked, above)
+                        Holder(name, furniture or own, inside or name in _CONTENT, article or name == "article", marked, above, box)
                     )
                     stack.append(holders[-1])
                     opened[name] = opened.get(name, 0) + 1
+            elif name == "h1" and stack:
+                stack[-1].box = ""
     parts.append(page[at:])
     flush()
     for x in holders:
         x.covered = x.furniture or x.marked or (x.above is not None and x.above.covered)
-    found = [Line(text, x is not None and x.covered, x is not None and x.inside) for text, x in out]
-    if all(x.furniture for x in found):
-        found = [Line(text, x is not None and x.furniture, x is not None and x.inside) for text, x in out]
-    return found
+    by_mark = any(x is None or not x.covered for _, x in out)
+    return [
+        Line(text, x.covered if by_mark else x.furniture, x.inside, x.box) if x else Line(text, False, False) for text, x in out
+    ]
 
 
-def undecided(page: list[Line]) -> list[int]:
-    """Places of the lines that only a neighbour can tell to be furniture."""
-    return [i for i, x in enumerate(page) if not x.furniture and not x.inside]
+def candidates(page: list[Line]) -> list[int]:
+    """Places of the lines that the markup does not take for furniture: the article's;
+    without an article those that only a neighbour can tell to be furniture."""
+    left = [i for i, x in enumerate(page) if not x.furniture]
+    return [i for i in left if page[i].inside] or left
 
 
 def main_text(page: list[Line], deleted: Iterable[int] = ()) -> str:
-    """The article's lines; without an article the undecided ones that were not deleted."""
-    if any(x.inside and not x.furniture for x in page):
-        kept = [x.text for x in page if x.inside and not x.furniture]
-    else:
-        gone = set(deleted)
-        kept = [page[i].text for i in undecided(page) if i not in gone]
-    return "\n".join(kept)
+    """The candidates less those that were deleted, by their number among the candidates."""
+    gone = set(deleted)
+    return "\n".join(page[i].text for k, i in enumerate(candidates(page)) if k not in gone)
 
 
 def _growth(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -338,68 +358,115 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return [i for i, _ in pairs], [j for _, j in pairs]
 
 
-_OUTLINE = (
-    "page_id long, url string, print long, host string, path string, text string, rest array<string>, "
-    "digests array<bigint>, sizes array<int>"
-)
+_OUTLINE = "page_id long, print long, host string, path string, digests array<bigint>, sizes array<int>, boxes array<bigint>"
+#: Boxes of lines outside articles and of lines that stand in an article by themselves.
+_OUTSIDE, _PLAIN = 0, 1
+
+
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))
 
 
+def _compared(page: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What differencing looks at, of each line of a page: a digest of its text, its size if
+    it is a candidate (else 0) and a digest of its box."""
+    digests = [_digest(x.text) for x in page]
+    sizes = np.zeros(len(page), np.int32)
+    for i in candidates(page):
+        sizes[i] = len(page[i].text)
+    boxes = [(_digest(x.box) if x.box else _PLAIN) if x.inside else _OUTSIDE for x in page]
+    return np.array(digests, np.uint64).view(np.int64), sizes, np.array(boxes, np.uint64).view(np.int64)
+
+
+@tidy
 def _outlined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text of each page; where a neighbour may take lines of it, those lines instead."""
+    """The lines of each page as differencing looks at them."""
     for batch in batches:
-        for part in slices(batch, 5):
-            texts, rests, prints, sizes = [], [], [], []
-            for host, page in zip(part.column(3).to_pylist(), part.column(5).to_pylist(), strict=True):
-                found = lines(page or "")
-                alone = not host or any(x.inside for x in found)
-                rest = [] if alone else [found[i].text for i in undecided(found)]
-                digests = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in rest]
-                texts.append(None if rest else main_text(found))
-                rests.append(rest)
-                prints.append(np.array(digests, np.uint64).view(np.int64).tolist())
-                sizes.append([len(x) for x in rest])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *part.columns[:5],
-                    pa.array(texts, pa.string()),
-                    pa.array(rests, pa.list_(pa.string())),
-                    pa.array(prints, pa.list_(pa.int64())),
-                    pa.array(sizes, pa.list_(pa.int32())),
-                ],
-                ["page_id", "url", "print", "host", "path", "text", "rest", "digests", "sizes"],
-            )
+        for part in slices(batch, 4):
+            found = [_compared(lines(page or "")) for page in part.column(4).to_pylist()]
+            kinds = (pa.int64(), pa.int32(), pa.int64())
+            arrays = [pa.array([x[k] for x in found], pa.list_(kind)) for k, kind in enumerate(kinds)]
+            names = ["page_id", "print", "host", "path", "digests", "sizes", "boxes"]
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], *arrays], names)
 
 
 Row = dict
 
 
-def _pairs(rows: Iterable[Row]) -> Iterator[tuple[int | None, int, int, list[int]]]:
-    """For each neighbour on the same host: page, print, agreeing characters, shared places.
+def _copied(page: Row, other: Row) -> int:
+    """Characters of candidates that the other page has too, in any order."""
+    left, copied = Counter(other["digests"].tolist()), 0
+    for digest, size in zip(page["digests"].tolist(), page["sizes"].tolist(), strict=True):
+        if size and left[digest] > 0:
+            left[digest] -= 1
+            copied += size
+    return copied
 
-    A neighbour that shares more than COPY of a page's characters tells nothing about what is
-    furniture, so for that page it does not count.
-    """
+
+def _deleted(page: Row, other: Row, shared: np.ndarray) -> list[int] | None:
+    """The candidates of a page (by number) that its neighbour shows to be furniture; None
+    if the neighbour is a copy, which tells nothing."""
+    sizes, boxes = page["sizes"].astype(np.int64), page["boxes"]
+    if ((sizes > 0) & (boxes != _OUTSIDE)).any():
+        copy = _copied(page, other) > ARTICLE_COPY * sizes.sum()
+    else:
+        copy = sizes[shared].sum() > COPY * sizes.sum()
+    if copy:
+        return None
+    if not sizes[shared].any():
+        return []
+    held, both = Counter(boxes.tolist()), Counter(boxes[shared].tolist())
+    gone = [box for box, n in both.items() if box == _OUTSIDE or n == held[box]]
+    shared = shared[(sizes[shared] > 0) & np.isin(boxes[shared], gone)]
+    return (np.cumsum(sizes > 0) - 1)[shared].tolist()
+
+
+def _by_box(page: Row) -> dict[int, list[int]]:
+    """The digests of the lines in boxes."""
+    found = defaultdict(list)
+    boxed = np.flatnonzero((page["boxes"] != _OUTSIDE) & (page["boxes"] != _PLAIN))
+    for box, digest in zip(page["boxes"][boxed].tolist(), page["digests"][boxed].tolist(), strict=True):
+        found[box].append(digest)
+    return found
+
+
+def _common(a: Row, b: Row) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a and in b of the lines that both have in one order and that may be furniture:
+    those outside articles, and those of boxes that have the same lines on both pages."""
+    here, there = _by_box(a), _by_box(b)
+    same = [_OUTSIDE] + [box for box, x in here.items() if there.get(box) == x]
+    at_a, at_b = (np.flatnonzero(np.isin(x["boxes"], same) if here else x["boxes"] == _OUTSIDE) for x in (a, b))
+    i, j = common_lines((a["digests"] ^ a["boxes"])[at_a], (b["digests"] ^ b["boxes"])[at_b])
+    return at_a[i], at_b[j]
+
+
+def _pairs(rows: Iterable[Row]) -> Iterator[tuple[int | None, int, int, list[int]]]:
+    """For each neighbour on the same host that is no copy: page, print, agreeing characters
+    of the paths, deleted candidates."""
     last: Row | None = None
     for row in rows:
         if last is not None and last["host"] == row["host"]:
             agree = len(commonprefix([last["path"], row["path"]]))
-            i, j = common_lines(np.array(last["digests"], np.int64), np.array(row["digests"], np.int64))
-            for page, shared in ((last, i), (row, j)):
-                if sum(page["sizes"][k] for k in shared) <= COPY * sum(page["sizes"]):
-                    yield page["page_id"], page["print"], agree, shared
+            i, j = _common(last, row)
+            for page, other, shared in ((last, row, i), (row, last, j)):
+                if (gone := _deleted(page, other, shared)) is not None:
+                    yield page["page_id"], page["print"], agree, gone
         last = row
 
 
-_PAIRED = "page_id long, print long, agree int, shared array<int>, edge binary"
+_PAIRED = "page_id long, print long, agree int, deleted array<int>, edge binary"
 
 
+@tidy
 def _paired(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs inside a sorted slice; its first and last row come out as they are, as edges."""
     state: dict[str, Row] = {}
 
     def rows() -> Iterator[Row]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                values = {name: column[k] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                row = {n: v.values.to_numpy() if isinstance(v, pa.ListScalar) else v.as_py() for n, v in values.items()}
                 state.setdefault("first", row)
                 state["last"] = row
                 yield row
@@ -417,7 +484,7 @@ def _paired(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
-    names = ["page_id", "print", "agree", "shared", "edge"]
+    names = ["page_id", "print", "agree", "deleted", "edge"]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
 
@@ -432,34 +499,43 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _pair_batch(done)
 
 
-def shared_lines(rows: DataFrame) -> DataFrame:
-    """page_id, print, shared: lines to delete of each outlined page that has a neighbour.
+def repeated_lines(outline: DataFrame) -> DataFrame:
+    """page_id, print, deleted: of each outlined page that has a neighbour, the candidates
+    that differencing deletes.
 
     Slices of the order by host and path are cut by a range shuffle, so a host of any size
     is many slices; their edges (two rows a slice) are paired in one small task.
     """
-    outlined = rows.select("host", "path", "page_id", "print", "digests", "sizes")
     order = ["host", "path", "page_id", "print"]
     pairs = written(
-        outlined.repartitionByRange(tasks(rows), *order).sortWithinPartitions(*order).mapInArrow(_paired, _PAIRED), "pairs"
+        outline.repartitionByRange(tasks(outline), *order).sortWithinPartitions(*order).mapInArrow(_paired, _PAIRED), "pairs"
     )
     across = pairs.where("edge is not null").select("edge").coalesce(1).mapInArrow(_across, _PAIRED)
     found = pairs.where("edge is null").union(across)
-    # the neighbour whose path agrees longest; of two, the one that shares more
+    # the neighbour whose path agrees longest; of two, the one that deletes more
     return found.groupBy("page_id", "print").agg(
-        F.max_by("shared", F.struct("agree", F.size("shared"), "shared")).alias("shared")
+        F.max_by("deleted", F.struct("agree", F.size("deleted"), "deleted")).alias("deleted")
     )
 
 
+@tidy
+def _chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates of each page, one a line."""
+    for batch in batches:
+        for part in slices(batch, 3):
+            found = pa.array([main_text(lines(page or "")) for page in part.column(3).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], found], ["page_id", "url", "print", "lines"])
+
+
+@tidy
 def _left(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines that were not deleted, as text."""
+    """The candidates that differencing did not delete."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for part in slices(batch, 2):
             texts = []
-            for rest, shared in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                gone = set(shared or ())
-                texts.append("\n".join(x for i, x in enumerate(rest) if i not in gone))
+            for text, deleted in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                gone = set(deleted or ())
+                texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone) if gone else text)
             yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -471,8 +547,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row of pages (page_id, url, html, any others).
 
     text is the main text, empty if there is none (null and empty html too). n_chars counts
-    its code points. A page without a neighbour on its host, or with a null url, keeps all
-    lines that are not furniture by themselves. Rows that repeat a page_id are told apart
+    its code points. A page without a neighbour on its host but copies, or with a null url,
+    keeps all lines that are not furniture by themselves. Rows that repeat a page_id are told apart
     by their content; equal rows give equal results.
     """
     page_id, url, html = F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
@@ -485,19 +561,18 @@ def extract(pages: DataFrame) -> DataFrame:
         path_of(named).alias("path"),
         html.alias("html"),
     )
-    # every page is read once; what follows works on its lines
-    outline = written(rows.mapInArrow(_outlined, _OUTLINE), "outline")
-    open_ = outline.where("text is null")
-    shared = shared_lines(open_)
-    both = open_["page_id"].eqNullSafe(shared["page_id"]) & (open_["print"] == shared["print"])
-    left = (
-        open_.join(shared, both, "left")
-        .select(open_["page_id"], "url", "rest", "shared")
-        .mapInArrow(_left, "page_id long, url string, text string")
+    # pages are read twice, so that their text is moved once: where it meets what to delete
+    outline = written(
+        rows.where("host <> ''").select("page_id", "print", "host", "path", "html").mapInArrow(_outlined, _OUTLINE), "outline"
+    )
+    chosen = rows.select("page_id", "url", "print", "html").mapInArrow(
+        _chosen, "page_id long, url string, print long, lines string"
     )
+    deleted = repeated_lines(outline.where("size(digests) > 0"))
+    both = chosen["page_id"].eqNullSafe(deleted["page_id"]) & (chosen["print"] == deleted["print"])
     return (
-        outline.where("text is not null")
-        .select("page_id", "url", "text")
-        .union(left)
+        chosen.join(deleted, both, "left")
+        .select(chosen["page_id"], "url", "lines", "deleted")
+        .mapInArrow(_left, "page_id long, url string, text string")
         .select("*", F.length("text").cast("long").alias("n_chars"))
     )
